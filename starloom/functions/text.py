@@ -88,7 +88,7 @@ def truncate(value: Column | str, width: int) -> Column:
 def split_terms(value: Column | str) -> Column:
     """Trimmed terms between newlines, '|', '/', ';' and ','; null gives one blank term."""
     pieces = F.split(F.coalesce(text_of(value), F.lit("")), r"[\n\r|/;,]")
-    return F.transform(pieces, F.trim)
+    return F.transform(pieces, lambda piece: F.trim(piece))
 
 
 def prefix_number(value: Column | str, width: int) -> Column:

@@ -36,7 +36,11 @@ def is_any_of(value: Column | str, allowed: Iterable[str]) -> Column:
 
 
 def is_graduate(degree: Column | str, status: Column | str, months: Column | str) -> Column:
-    """a counted degree, and a graduate's status or a positive duration."""
+    """a counted degree, and a graduate's status or a positive duration.
+
+    The words are searched inside the status, so the filled-in status "NÃO
+    INFORMADO" counts too (it contains "FORMADO"); that is kept as it is.
+    """
     positive = F.coalesce(to_double(months) > 0, F.lit(False))
     return is_any_of(degree, GRADUATE_DEGREES) & (graduated_status(status) | positive)
 

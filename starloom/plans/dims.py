@@ -285,7 +285,8 @@ def dim_docente(base: DataFrame | None, raw_docente: DataFrame, grants: DataFram
         else:
             by_researcher = one_per_key(offers, ["id_lattes"], newest)
             rows = enrich_by_name(rows, by_researcher, "des_docente", "nome_beneficiario", newest)
-    rows = with_defaults(rows, {c: F.lit(None).cast("string") for c in grant_columns})
+    wanted = [*PROFESSOR_COLUMNS.values(), *PROFESSOR_DETAIL_COLUMNS.values(), *grant_columns]
+    rows = with_defaults(rows, {c: F.lit(None).cast("string") for c in wanted})
     granted = text.filled("cod_bolsa_produtividade") | F.col("pq_categoria_nivel").isNotNull()
     rows = rows.withColumns({
         "bl_bolsa_pq": granted,
@@ -342,6 +343,7 @@ STUDENT_DEFAULTS = {
 def dim_discente(students: DataFrame) -> DataFrame:
     """The last row per student; newest base year first where no input position is known."""
     rows = select_renamed(students, {**STUDENT_COLUMNS, **{c: c for c in POSITION}})
+    rows = with_defaults(rows, {c: F.lit(None).cast("string") for c in STUDENT_COLUMNS.values()})
     rows = rows.withColumn("id_discente", text.without_float_suffix("id_discente"))
     last = input_order(rows, last_first=True) or [F.desc_nulls_last("ano_base")]
     unique = without_position(one_per_key(with_value(rows, "id_discente"), ["id_discente"], last))

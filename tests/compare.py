@@ -62,8 +62,9 @@ def main() -> int:
     registered.load_all()
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(registered.QUERIES)
-    spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
-    spark.sparkContext.setLogLevel("ERROR")
+    spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+                          spark__ui__showConsoleProgress="false")
+    spark.sparkContext.setLogLevel("OFF")
     connection = database(folder)
     bad = 0
     for name in names:
