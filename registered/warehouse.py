@@ -722,7 +722,7 @@ PROFESSORS_SQL = f"""
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_lattes ORDER BY inicio DESC NULLS LAST, nome, nivel) AS k FROM raw_grants) WHERE k = 1
     ),
     by_name AS (
-        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY upper(nome) ORDER BY inicio DESC NULLS LAST, id_lattes, nivel) AS k FROM by_researcher) WHERE k = 1
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY upper(nome) ORDER BY inicio DESC NULLS LAST, id_lattes, nivel) AS j FROM by_researcher) WHERE j = 1
     ),
     professors AS (
         SELECT docente_sk, CAST(base.id_pessoa AS VARCHAR) AS id_pessoa, base.nome AS des_docente, base.doutor = 'SIM' AS bl_doutor,

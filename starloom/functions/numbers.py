@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.text import as_column, text_of
+from starloom.functions.text import INTEGRAL, as_column, text_of
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -26,6 +26,13 @@ def safe_int(value: Column | str, default: int = 0) -> Column:
     return F.coalesce(to_double(value).try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
+def whole_number(df: DataFrame, name: str, default: int = 0) -> Column:
+    """X5 by column type: columns that are whole numbers already only lose their nulls."""
+    if dict(df.dtypes)[name] in INTEGRAL:
+        return F.coalesce(F.col(name).cast("bigint"), F.lit(default).cast("bigint"))
+    return safe_int(name, default)
+
+
 def at_least_zero(value: Column | str) -> Column:
     """X29."""
     return F.greatest(as_column(value), F.lit(0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.fixed_values import (
@@ -41,6 +41,26 @@ def blank_to_null(value: Column | str) -> Column:
     return F.when(~trimmed.isin(BLANK_WORDS), trimmed)
 
 
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def id_text(df: DataFrame, name: str) -> Column:
+    """X7 by column type: an id as text, whole numbers without '.0' or exponent."""
+    kind, column = dict(df.dtypes)[name], F.col(name)
+    if kind in INTEGRAL:
+        return column.cast("string")
+    if kind in ("float", "double") or kind.startswith("decimal"):
+        whole = column.try_cast("bigint")
+        return F.when(whole == column, whole.cast("string")).otherwise(column.cast("string"))
+    return without_float_suffix(column)
+
+
+def identifier_of(df: DataFrame, name: str) -> Column:
+    """X6 by column type: whole-number columns need no text clean-up."""
+    text = id_text(df, name)
+    return text if dict(df.dtypes)[name] in INTEGRAL else identifier(text)
+
+
 def identifier(value: Column | str) -> Column:
     """Trimmed upper-case key without a trailing '.0'; null for a missing key.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.fixed_values import SK_COLUMN, UNKNOWN_MEMBER
-from starloom.session import ensure_checkpoint_dir
+from starloom.session import stored
 
 # monotonically_increasing_id: partition number in the upper bits, row in the lower 33
 _ROW_BITS = 33
@@ -19,20 +19,18 @@ def surrogate_key(df: DataFrame, name: str, order: Sequence[Column | str]) -> Da
     """K1, K4: keys 1..n in the given order, on all executors.
 
     ``order`` must be a total order.  Rows are range-partitioned and sorted, and
-    their position (partition, row) is stored by a reliable checkpoint, so that
-    neither a lost executor nor a new plan can move a row between the two
-    passes.  Only the row count per partition, one number each, is summed up in
-    one place; the second pass is a map-only join with those offsets.
+    stored with their position (partition, row), so that neither a lost executor
+    nor a new plan can move a row between the two passes.  Only the row count
+    per partition, one number each, is summed up in one place; the second pass
+    is a map-only join with those offsets.
     """
     if not order:
         raise ValueError("a surrogate key needs an order that is total")
-    ensure_checkpoint_dir(df.sparkSession)
     columns = [F.col(o) if isinstance(o, str) else o for o in order]
-    placed = (
+    placed = stored(
         df.repartitionByRange(*columns)
         .sortWithinPartitions(*columns)
         .withColumn("_position", F.monotonically_increasing_id())
-        .checkpoint()
     )
     part = F.shiftright("_position", _ROW_BITS).alias("_part")
     sizes = placed.groupBy(part).agg(F.count("*").alias("_rows"))

@@ -15,28 +15,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.text import as_column, identifier, match_name
+from starloom.functions.text import INTEGRAL, as_column, identifier, identifier_of, match_name
 from starloom.operators.dedup import one_per_key
 from starloom.operators.shape import present
 
 NULL_SPREAD = 1024
 
 
+def _cleaned(df: DataFrame, key: Column | str, clean) -> Column:
+    if clean is None:
+        return as_column(key)
+    # a column known by name is cleaned according to its type
+    return identifier_of(df, key) if clean is identifier and isinstance(key, str) else clean(key)
+
+
 def key_table(dim: DataFrame, key: Column | str, sk: str, clean=identifier) -> DataFrame:
     """Unique cleaned key with its largest surrogate key (the last one loaded)."""
-    cleaned = clean(key) if clean else as_column(key)
     return (
         dim.filter(F.col(sk) > 0)
-        .select(cleaned.alias("_key"), F.col(sk).alias("_sk"))
+        .select(_cleaned(dim, key, clean).alias("_key"), F.col(sk).alias("_sk"))
         .filter(F.col("_key").isNotNull())
         .groupBy("_key")
         .agg(F.max("_sk").alias("_sk"))
     )
 
 
-_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
-
-
 def attach_key(fact: DataFrame, keys: DataFrame, key: Column, target: str) -> DataFrame:
     """Left join with a key table; a miss or a missing key gives 0.
 
@@ -46,7 +49,7 @@ def attach_key(fact: DataFrame, keys: DataFrame, key: Column, target: str) -> Da
     """
     left = fact.withColumn("_given", key)
     bucket = F.pmod(F.xxhash64(*fact.columns), F.lit(NULL_SPREAD))
-    if dict(left.dtypes)["_given"] in _INTEGRAL and dict(keys.dtypes)["_key"] in _INTEGRAL:
+    if dict(left.dtypes)["_given"] in INTEGRAL and dict(keys.dtypes)["_key"] in INTEGRAL:
         kind, filler = "bigint", -1 - bucket
     else:
         kind, filler = "string", F.concat(F.lit("\u0000"), bucket.cast("string"))
@@ -62,30 +65,33 @@ def lookup_sk(
     target: str | None = None, clean=identifier,
 ) -> DataFrame:
     """Surrogate key of a business key; the row count of the fact is kept."""
-    key = clean(fact_key) if clean else as_column(fact_key)
+    key = _cleaned(fact, fact_key, clean)
     return attach_key(fact, key_table(dim, dim_key, sk, clean), key, target or sk)
 
 
 def lookup_sk_fallback(
     fact: DataFrame, dim: DataFrame, fact_key: str | None, dim_keys: Sequence[str], sk: str,
-    target: str | None = None,
+    target: str | None = None, probe: DataFrame | None = None,
 ) -> DataFrame:
     """Try the lookup columns in order, use the first that hits at all; none gives 0.
 
     Whether a column hits is a semi-join that stops at its first match, so the
-    usual case (the first column fits) reads little; the fact is then joined once.
+    usual case (the first column fits) reads little; the fact is then joined
+    once.  ``probe`` is a cheaper frame with the same keys to look at, such as
+    the fact before earlier joins.
     """
     target = target or sk
     zero = fact.withColumn(target, F.lit(0))
     if fact_key is None or fact_key not in fact.columns:
         return zero
-    key = identifier(fact_key)
+    key = identifier_of(fact, fact_key)
     candidates = present(dim, dim_keys)
     for name in candidates:
         table = key_table(dim, name, sk)
         if name == candidates[-1]:
             return attach_key(fact, table, key, target)
-        hits = fact.select(key.alias("_key")).join(table, "_key", "left_semi")
+        looked_at = fact if probe is None else probe
+        hits = looked_at.select(key.alias("_key")).join(table, "_key", "left_semi")
         if not hits.isEmpty():
             return attach_key(fact, table, key, target)
     return zero

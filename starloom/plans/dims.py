@@ -158,7 +158,8 @@ def dim_ies(professors: DataFrame) -> DataFrame:
     rows = with_value(stack_rows(roles), "sg_ies", "des_ies")
     attributes = [c for c in rows.columns if c not in (*POSITION, "_papel")]
     # a million professors name few institutions: equal rows shrink before the shuffle
-    first_seen = F.min(F.struct("_papel", *present(rows, POSITION))).alias("_vista")
+    known = present(rows, POSITION)
+    first_seen = F.min(F.struct("_papel", *known) if known else F.col("_papel")).alias("_vista")
     unique = rows.groupBy(*attributes).agg(first_seen)
     ordered = unique.select("*", F.struct("_vista", *attributes).alias("_ordem")).drop("_vista")
     merged = consolidate(ordered, "des_ies", ["_ordem"])
@@ -263,8 +264,8 @@ def professor_base(raw_docente: DataFrame) -> DataFrame:
 def dim_docente(base: DataFrame | None, raw_docente: DataFrame, grants: DataFrame | None = None) -> DataFrame:
     """Professors enriched with personal data and grants; without a base file the latest raw year."""
     source = base if base is not None else professor_base(raw_docente)
-    person = text.without_float_suffix("id_pessoa")
-    rows = select_renamed(source, {**PROFESSOR_COLUMNS, **{c: c for c in POSITION}}).withColumn("id_pessoa", person)
+    rows = select_renamed(source, {**PROFESSOR_COLUMNS, **{c: c for c in POSITION}})
+    rows = rows.withColumn("id_pessoa", text.id_text(rows, "id_pessoa"))
     rows = without_position(one_per_key(with_value(rows, "id_pessoa"), ["id_pessoa"], input_order(rows)))
     rows = with_defaults(rows, {
         "in_doutor": "", "in_coordenador_ppg": "", "cod_bolsa_produtividade": F.lit(None).cast("string"),
@@ -274,7 +275,8 @@ def dim_docente(base: DataFrame | None, raw_docente: DataFrame, grants: DataFram
         "bl_coordenador_ppg": text.yes_flag("in_coordenador_ppg"),
         "cs_sexo": text.sex_code("cs_sexo"),
     })
-    details = select_renamed(raw_docente, PROFESSOR_DETAIL_COLUMNS).withColumn("id_pessoa", person)
+    details = select_renamed(raw_docente, PROFESSOR_DETAIL_COLUMNS)
+    details = details.withColumn("id_pessoa", text.id_text(details, "id_pessoa"))
     rows = enrich_unique(rows, details, "id_pessoa", [F.desc_nulls_last("ano_base_mais_recente")])
     grant_columns = ["pq_categoria_nivel", "pq_modalidade", "pq_grande_area", "pq_area", "pq_data_inicio", "pq_data_termino"]
     if grants is not None:
@@ -344,11 +346,10 @@ def dim_discente(students: DataFrame) -> DataFrame:
     """The last row per student; newest base year first where no input position is known."""
     rows = select_renamed(students, {**STUDENT_COLUMNS, **{c: c for c in POSITION}})
     rows = with_defaults(rows, {c: F.lit(None).cast("string") for c in STUDENT_COLUMNS.values()})
-    rows = rows.withColumn("id_discente", text.without_float_suffix("id_discente"))
+    rows = rows.withColumns({c: text.id_text(rows, c) for c in ("id_discente", "id_pessoa")})
     last = input_order(rows, last_first=True) or [F.desc_nulls_last("ano_base")]
     unique = without_position(one_per_key(with_value(rows, "id_discente"), ["id_discente"], last))
     clean = nulls_filled(unique, STUDENT_DEFAULTS).withColumns({
-        "id_pessoa": text.without_float_suffix("id_pessoa"),
         "meses_para_titulacao": numbers.safe_int("meses_para_titulacao"),
         "idade_ano_base": numbers.safe_int("idade_ano_base"),
         "ano_base": numbers.safe_int("ano_base", DEFAULT_YEAR),
@@ -429,7 +430,7 @@ def dim_posdoc(postdocs: DataFrame) -> DataFrame:
         "data_nascimento": F.lit(None).cast("string"), "data_inicio": F.lit(None).cast("string"),
         "data_termino": F.lit(None).cast("string"), "ano_base": F.lit(None).cast("string"),
     })
-    rows = rows.withColumn("id_posdoc", text.without_float_suffix("id_posdoc"))
+    rows = rows.withColumn("id_posdoc", text.id_text(rows, "id_posdoc"))
     unique = latest_per_key(with_value(rows, "id_posdoc"), ["id_posdoc"], ["ano_base"])
     clean = nulls_filled(unique, POSTDOC_DEFAULTS).withColumns({
         "ano_base": numbers.safe_int("ano_base", DEFAULT_YEAR),
@@ -488,10 +489,12 @@ PRODUCTION_DEFAULTS = {
 
 def dim_producao(productions: DataFrame) -> DataFrame:
     """Productions of several years, the newest row per id."""
-    texts = productions.select(*[F.col(c).cast("string") for c in productions.columns])
+    ids = [c for c, target in PRODUCTION_COLUMNS.items() if target == "id_producao"]
+    texts = productions.select(*[
+        (text.id_text(productions, c) if c in ids else F.col(c).cast("string")).alias(c) for c in productions.columns
+    ])
     rows = select_renamed(texts, PRODUCTION_COLUMNS)
     rows = with_defaults(rows, {**PRODUCTION_TITLES, "ano_producao": "0", "ano_base": "0"})
-    rows = rows.withColumn("id_producao", text.without_float_suffix("id_producao"))
     rows = with_value(rows, "id_producao")
     rows = nulls_filled(rows, PRODUCTION_TITLES).withColumns({
         "ano_producao": numbers.safe_int("ano_producao").cast("int"),

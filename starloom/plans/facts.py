@@ -54,13 +54,13 @@ def fact_producao(authors: DataFrame, dims: Mapping[str, DataFrame]) -> DataFram
         F.col("ID_SUBTIPO_PRODUCAO").alias("subtipo_producao"),
         text.author_type("TP_AUTOR").alias("tipo_autor"),
         F.col("NR_ORDEM").alias("ordem_autor"),
-        *[text.float_id(column).alias(column) for column in AUTHOR_ROLES.values()],
+        *[text.id_text(authors, column).alias(column) for column in AUTHOR_ROLES.values()],
     )
     fact = lookup_sk(fact, dims["tempo"], F.col("ano_base"), F.col("ano"), "tempo_sk", clean=None)
     for dimension, column in AUTHOR_ROLES.items():
         sk = f"{dimension}_sk"
         if dimension in dims:
-            person = text.without_float_suffix("id_pessoa")
+            person = text.id_text(dims[dimension], "id_pessoa")
             fact = lookup_sk(fact, dims[dimension], F.col(column), person, sk, clean=None)
         else:
             fact = fact.withColumn(sk, F.lit(0))
@@ -113,9 +113,10 @@ def fact_producao_tema(
 ) -> DataFrame:
     """Authorship by theme and goal; distinct rows, ``ods_sk`` in the grain (Q6)."""
     named = rename_all(authors, snake_name)
-    fact = resolve_aliases(named, AUTHORSHIP_ALIASES)
+    source = resolve_aliases(named, AUTHORSHIP_ALIASES)
+    fact = source
     if dims.get("tempo") is not None:
-        year = numbers.safe_int("ano_base").cast("int")
+        year = numbers.whole_number(source, "ano_base").cast("int")
         fact = lookup_sk(fact, dims["tempo"], year, F.col("ano"), "tempo_sk", clean=None)
     for dimension, (candidates, searched) in AUTHORSHIP_LOOKUPS.items():
         sk = f"{dimension}_sk"
@@ -125,15 +126,16 @@ def fact_producao_tema(
             continue
         # only candidates that the source really has; a choice among several costs one look at the data
         real = [c for c in candidates if present(named, AUTHORSHIP_ALIASES[c])]
-        fact = lookup_sk_fallback(fact, standard_sk(dim, dimension), first_filled(fact, real), searched, sk)
+        key = first_filled(source, real)
+        fact = lookup_sk_fallback(fact, standard_sk(dim, dimension), key, searched, sk, probe=source)
     fact = with_defaults(fact, {"tempo_sk": 0}).select(
-        numbers.safe_int("producao_id").alias("producao_id"),
+        numbers.whole_number(source, "producao_id").alias("producao_id"),
         *[numbers.at_least_zero(f"{d}_sk").cast("int").alias(f"{d}_sk") for d in ("tempo", *AUTHORSHIP_LOOKUPS)],
         F.coalesce("tipo_autor", F.lit(NOT_INFORMED)).alias("tipo_autor"),
-        numbers.safe_int("ordem_autor").cast("int").alias("ordem_autor"),
+        numbers.whole_number(source, "ordem_autor").cast("int").alias("ordem_autor"),
         F.lit(1).alias("qtd_autores"),
         F.lit(1).alias("qtd_producoes"),
-        numbers.safe_int("ano_base").cast("int").alias("ano_base"),
+        numbers.whole_number(source, "ano_base").cast("int").alias("ano_base"),
         F.coalesce("fonte_dados", F.lit(AUTHORSHIP_SOURCE)).alias("fonte_dados"),
     )
     # equal rows fall together before the goals multiply them

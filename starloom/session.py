@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution decides broadcasts and splits skewed join partitions at run
 # time, from measured sizes.  No size threshold is raised here: a dimension is
@@ -14,8 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # checkpoint files go away with the frames that need them
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -31,22 +32,34 @@ def build_session(app_name: str = "starloom", master: str | None = None, **extra
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Reliable checkpoint folder for cutting lineage.
+    """Shared folder for intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only a local session,
     where driver and executors share one disk, may fall back to a new scratch
-    folder.
+    folder, which goes away with the process.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if current:
         return current
-    if configured:
-        context.setCheckpointDir(configured)
-        return configured
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    scratch = tempfile.mkdtemp(prefix="starloom-checkpoint-")
-    context.setCheckpointDir(scratch)
-    return scratch
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="starloom-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
+    context.setCheckpointDir(configured)
+    return configured
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write ``df`` once to the shared folder and read it back.
+
+    Unlike a checkpointed frame the written table has known sizes, so joins with
+    it are planned from facts, and it is read by column.  A lost executor costs
+    nothing, as the files are on shared storage.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
