@@ -160,9 +160,10 @@ def multi_key_first_wins(spark, folder):
 """)
 def bridge_fanout(spark, folder):
     pairs = load(spark, folder, "lineitem").filter("l_quantity > 45").select(
-        F.col("l_partkey").alias("p_partkey"), (F.col("l_suppkey") + 1).alias("supplier_sk")
+        (F.col("l_partkey") + 1).alias("part_sk"), (F.col("l_suppkey") + 1).alias("supplier_sk")
     )
-    found = attach_bridge(load(spark, folder, "part").select("p_partkey"), pairs, "p_partkey", "supplier_sk")
+    parts = load(spark, folder, "part").select("p_partkey", (F.col("p_partkey") + 1).alias("part_sk"))
+    found = attach_bridge(parts, pairs, "part_sk", "supplier_sk")
     return found.select("p_partkey", (F.col("supplier_sk") - 1).alias("l_suppkey"))
 
 

@@ -40,24 +40,29 @@ def key_table(dim: DataFrame, key: Column | str, sk: str, clean=identifier) -> D
     )
 
 
-def attach_key(fact: DataFrame, keys: DataFrame, key: Column, target: str) -> DataFrame:
-    """Left join with a key table; a miss or a missing key gives 0.
+def spread_join(left: DataFrame, right: DataFrame, given: Column) -> DataFrame:
+    """Left join with ``right`` on its column ``_key``; rows without a key are spread.
 
-    Rows without a key get one of many filler values to join on; the extra
+    Rows whose key is null get one of many filler values to join on; the extra
     condition keeps a filler from ever matching.  Whole numbers join as bigint,
     anything else as text.
     """
-    left = fact.withColumn("_given", key)
-    bucket = F.pmod(F.xxhash64(*fact.columns), F.lit(NULL_SPREAD))
-    if dict(left.dtypes)["_given"] in INTEGRAL and dict(keys.dtypes)["_key"] in INTEGRAL:
+    keyed = left.withColumn("_given", given)
+    bucket = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD))
+    if dict(keyed.dtypes)["_given"] in INTEGRAL and dict(right.dtypes)["_key"] in INTEGRAL:
         kind, filler = "bigint", -1 - bucket
     else:
         kind, filler = "string", F.concat(F.lit("\u0000"), bucket.cast("string"))
-    left = left.withColumn("_lookup", F.coalesce(F.col("_given").cast(kind), filler))
-    right = keys.select(F.col("_key").cast(kind), "_sk")
-    found = left.join(right, (F.col("_lookup") == F.col("_key")) & F.col("_given").isNotNull(), "left")
+    keyed = keyed.withColumn("_lookup", F.coalesce(F.col("_given").cast(kind), filler))
+    side = right.withColumn("_key", F.col("_key").cast(kind))
+    joined = keyed.join(side, (F.col("_lookup") == F.col("_key")) & F.col("_given").isNotNull(), "left")
+    return joined.drop("_given", "_lookup", "_key")
+
+
+def attach_key(fact: DataFrame, keys: DataFrame, key: Column, target: str) -> DataFrame:
+    """Surrogate key from a key table; a miss or a missing key gives 0."""
     kept = [c for c in fact.columns if c != target]
-    return found.select(*kept, F.coalesce(F.col("_sk"), F.lit(0)).alias(target))
+    return spread_join(fact, keys, key).select(*kept, F.coalesce(F.col("_sk"), F.lit(0)).alias(target))
 
 
 def lookup_sk(
@@ -128,29 +133,34 @@ def lookup_sk_priority(
 
 def enrich_unique(left: DataFrame, right: DataFrame, key: str, order: Sequence[Column | str]) -> DataFrame:
     """Left join after the right side is cut to one row per key."""
-    filled = right.filter(F.col(key).isNotNull())
-    return left.join(one_per_key(filled, [key], order), key, "left")
+    single = one_per_key(right.filter(F.col(key).isNotNull()), [key], order)
+    return spread_join(left, single.withColumnRenamed(key, "_key"), F.col(key))
 
 
 def enrich_by_name(
     left: DataFrame, right: DataFrame, left_name: str, right_name: str, order: Sequence[Column | str]
 ) -> DataFrame:
     """Left join on the normalised name; one right row per name, so no fan-out (Q24)."""
-    named = right.withColumn("_name", match_name(right_name)).filter(F.col("_name").isNotNull())
-    single = one_per_key(named, ["_name"], order)
-    return left.withColumn("_name", match_name(left_name)).join(single, "_name", "left").drop("_name")
+    named = right.withColumn("_key", match_name(right_name)).filter(F.col("_key").isNotNull())
+    return spread_join(left, one_per_key(named, ["_key"], order), match_name(left_name))
 
 
 def attach_bridge(fact: DataFrame, bridge: DataFrame, key: str, target: str) -> DataFrame:
-    """Left join with the distinct pairs of a bridge; several pairs fan out, none gives 0."""
-    pairs = bridge.select(key, target).distinct()
-    return fact.join(pairs, key, "left").withColumn(target, F.coalesce(F.col(target), F.lit(0)))
+    """Left join with the distinct pairs of a bridge; several pairs fan out, none gives 0.
+
+    The unknown member (key 0), often a large part of a fact, has no pairs and
+    is spread like a missing key.
+    """
+    pairs = bridge.filter(F.col(key) > 0).select(F.col(key).alias("_key"), F.col(target).alias("_sk")).distinct()
+    return attach_key(fact, pairs, F.when(F.col(key) > 0, F.col(key)), target)
 
 
 def backfill(df: DataFrame, table: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Fill nulls of ``columns`` from a table that is unique per key."""
-    side = table.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
-    joined = df.join(side, key, "left")
+    side = table.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns]
+    )
+    joined = spread_join(df, side, F.col(key))
     filled = {
         c: F.coalesce(F.col(c), F.col(f"_{c}")) if c in df.columns else F.col(f"_{c}") for c in columns
     }
