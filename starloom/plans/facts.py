@@ -226,11 +226,11 @@ def fact_temas(
         F.min("localidade_sk").alias("localidade_sk")
     )
     members = dim_ies.filter("ies_sk > 0").select("ies_sk", F.col("sg_uf").alias("_uf")).join(places, "_uf")
-    parts = F.pmod(F.xxhash64("tema_sk"), F.lit(PAIR_PARTS))
+    parts = F.pmod(F.xxhash64("tema_sk"), F.lit(PAIR_PARTS)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(PAIR_PARTS - 1)))
     day = dim_tempo.filter(F.col("ano") == year).agg(F.min("tempo_sk").alias("tempo_sk"))
     pairs = themes.withColumn("_part", parts).join(
-        members.withColumn("_part", copies.cast("bigint")), ["_uf", "_part"]
+        members.withColumn("_part", copies), ["_uf", "_part"]
     )
     # the key of the year is one value: a scalar subquery, no join
     presence = {c: F.lit(1) for c in ("presente_na_uf", "presente_na_categoria", "presente_na_ies", "presente_na_regiao")}

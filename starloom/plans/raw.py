@@ -170,8 +170,12 @@ def raw_fomentopq(file: DataFrame, source: str = "fomento.csv") -> DataFrame:
 
 
 def raw_ies(records: DataFrame) -> DataFrame:
-    """Institution feed with standard names, empty columns dropped, blanks null, typed numbers."""
-    return apply_types(drop_empty(blanks_to_null(rename_all(records, feed_name))), FEED_TYPES)
+    """Institution feed with standard names, typed numbers, blanks null.
+
+    Columns and rows without any value are dropped before blanks become null,
+    so a column of blanks stays.
+    """
+    return apply_types(blanks_to_null(drop_empty(rename_all(records, feed_name))), FEED_TYPES)
 
 
 def raw_ies_api(resources: Sequence[tuple[DataFrame, int | None]]) -> DataFrame:
