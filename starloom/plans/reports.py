@@ -22,13 +22,18 @@ def _ordered(df: DataFrame, measure: str, keys: Sequence[str]) -> DataFrame:
     return df.orderBy(F.desc(measure), *keys)
 
 
+def _theme_ids(dim_tema: DataFrame) -> DataFrame:
+    # places and themes both have a state, so each side brings only what is read
+    return dim_tema.select("tema_sk", "tema_id")
+
+
 # --- themes on the star -------------------------------------------------------
 
 def themes_by_state_name(fact: DataFrame, dim_tema: DataFrame, dim_localidade: DataFrame) -> DataFrame:
     """R1."""
     # the fact is counted per key pair first, so the dimensions meet the pairs only
     pairs = without_unknown(fact, "tema_sk").groupBy("tema_sk", "localidade_sk").agg(F.count("*").alias("linhas"))
-    star = pairs.join(dim_tema, "tema_sk").join(dim_localidade, "localidade_sk")
+    star = pairs.join(_theme_ids(dim_tema), "tema_sk").join(dim_localidade.select("localidade_sk", "nome_uf"), "localidade_sk")
     counted = distinct_by(star, ["nome_uf"], {"total_temas": "tema_id"}, sums={"total_registros_fato": "linhas"})
     return counted.orderBy("nome_uf")
 
@@ -43,7 +48,7 @@ def macro_theme_sizes(fact: DataFrame, dim_tema: DataFrame) -> DataFrame:
 
 def themes_by_state(fact: DataFrame, dim_tema: DataFrame, dim_localidade: DataFrame) -> DataFrame:
     """R7."""
-    star = fact.join(dim_tema, "tema_sk").join(dim_localidade, "localidade_sk")
+    star = fact.join(_theme_ids(dim_tema), "tema_sk").join(dim_localidade.select("localidade_sk", "sigla_uf"), "localidade_sk")
     counted = distinct_by(
         star, ["sigla_uf"], {"qtd_temas_uf": "tema_id", "qtd_ies": "ies_sk"}, sums={"total_associacoes": "qtd_registros"}
     )
@@ -58,7 +63,7 @@ def _category(dim_ies: DataFrame) -> DataFrame:
 
 def themes_by_category(fact: DataFrame, dim_tema: DataFrame, dim_ies: DataFrame) -> DataFrame:
     """R8."""
-    star = fact.join(dim_tema, "tema_sk").join(_category(dim_ies), "ies_sk")
+    star = fact.join(_theme_ids(dim_tema), "tema_sk").join(_category(dim_ies), "ies_sk")
     counted = distinct_by(
         star, ["categoria_administrativa"], {"qtd_temas_categoria": "tema_id", "qtd_ies": "ies_sk"},
         sums={"total_associacoes": "qtd_registros"},
@@ -68,7 +73,7 @@ def themes_by_category(fact: DataFrame, dim_tema: DataFrame, dim_ies: DataFrame)
 
 def themes_by_region(fact: DataFrame, dim_tema: DataFrame, dim_localidade: DataFrame) -> DataFrame:
     """R9."""
-    star = fact.join(dim_tema, "tema_sk").join(dim_localidade, "localidade_sk")
+    star = fact.join(_theme_ids(dim_tema), "tema_sk").join(dim_localidade.select("localidade_sk", "regiao"), "localidade_sk")
     counted = distinct_by(
         star, ["regiao"], {"qtd_temas_regiao": "tema_id", "qtd_ufs": "localidade_sk"},
         sums={"total_associacoes": "qtd_registros"},
@@ -80,7 +85,11 @@ def top_institutions(
     fact: DataFrame, dim_tema: DataFrame, dim_ies: DataFrame, dim_localidade: DataFrame, k: int | None = 20
 ) -> DataFrame:
     """All institutions when ``k`` is None."""
-    star = fact.join(dim_tema, "tema_sk").join(_category(dim_ies), "ies_sk").join(dim_localidade, "localidade_sk")
+    star = (
+        fact.join(_theme_ids(dim_tema), "tema_sk")
+        .join(_category(dim_ies), "ies_sk")
+        .join(dim_localidade.select("localidade_sk", "sigla_uf"), "localidade_sk")
+    )
     keys = ["des_ies", "categoria_administrativa", "sigla_uf"]
     ranked = _ordered(distinct_by(star, keys, {"qtd_temas_ies": "tema_id"}), "qtd_temas_ies", keys)
     return ranked if k is None else ranked.limit(k)
@@ -165,7 +174,7 @@ def goals_by_themes(bridge: DataFrame, dim_ods: DataFrame, k: int = 10) -> DataF
 def themes_of_goal(bridge: DataFrame, dim_tema: DataFrame, dim_ods: DataFrame, number: int) -> DataFrame:
     """R13."""
     goal = dim_ods.filter(F.col("ods_numero") == number).select("ods_sk")
-    rows = active_only(bridge).join(goal, "ods_sk", "left_semi").join(dim_tema, "tema_sk")
+    rows = active_only(bridge).join(goal, "ods_sk", "left_semi").join(dim_tema.select("tema_sk", "palavra_chave"), "tema_sk")
     return rows.select("palavra_chave", "tipo_associacao", "nivel_confianca", "observacao").orderBy(
         F.desc("nivel_confianca"), "palavra_chave"
     )
