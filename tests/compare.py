@@ -1,8 +1,13 @@
-"""Compare registered queries with their SQL: ``python tests/compare.py [folder] [name ...]``."""
+"""Compare registered queries with their SQL: ``python tests/compare.py [folder] [name ...]``.
+
+``COMPARE_CONF="key=value key=value"`` sets further session settings, such as
+other partition counts or no broadcasts.
+"""
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from decimal import Decimal
@@ -65,6 +70,8 @@ def main() -> int:
     spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
                           spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("OFF")
+    for setting in os.environ.get("COMPARE_CONF", "").split():
+        spark.conf.set(*setting.split("=", 1))
     connection = database(folder)
     bad = 0
     for name in names:
