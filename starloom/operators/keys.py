@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ def surrogate_key(df: DataFrame, name: str, order: Sequence[Column | str]) -> Da
     stored with their position (partition, row), so that neither a lost executor
     nor a new plan can move a row between the two passes.  Only the row count
     per partition, one number each, is summed up in one place; the second pass
-    is a map-only join with those offsets.
+    adds those offsets in a projection.
     """
     if not order:
         raise ValueError("a surrogate key needs an order that is total")
@@ -32,19 +33,15 @@ def surrogate_key(df: DataFrame, name: str, order: Sequence[Column | str]) -> Da
         .sortWithinPartitions(*columns)
         .withColumn("_position", F.monotonically_increasing_id())
     )
-    part = F.shiftright("_position", _ROW_BITS).alias("_part")
-    sizes = placed.groupBy(part).agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range partition: bounded by the shuffle width, not by the data
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .select(
-            (F.col("_offset") + F.col("_position").bitwiseAND(F.lit(_ROW_MASK)) + 1).alias(name),
-            *df.columns,
-        )
-    )
+    part = F.shiftright("_position", _ROW_BITS)
+    sizes = placed.groupBy(part.cast("int").alias("part")).agg(F.count("*").alias("rows")).orderBy("part").collect()
+    # one number per range partition: bounded by the shuffle width, not by the data
+    filled = {size["part"]: size["rows"] for size in sizes}
+    offsets = list(accumulate((filled.get(i, 0) for i in range(max(filled, default=0))), initial=0))
+    # a constant array, folded once by the optimizer
+    offset = F.element_at(F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>"), part.cast("int") + 1)
+    row = F.col("_position").bitwiseAND(F.lit(_ROW_MASK))
+    return placed.select((offset + row + 1).alias(name), *df.columns)
 
 
 def small_surrogate_key(df: DataFrame, name: str, order: Sequence[Column | str]) -> DataFrame:
