@@ -8,7 +8,7 @@ only renames and derives columns; the work is done by ``starloom.plans``.
 from pyspark.sql import functions as F
 
 from registered import load, query
-from registered.expressions import STATES_SQL, order_calendar
+from registered.expressions import order_calendar
 from starloom.fixed_values import GOAL_DESCRIPTORS, GOALS, STATES
 from starloom.plans import dims, facts, raw, reports
 
