@@ -6,14 +6,17 @@ A batch is cut into pieces of bounded text size, so memory in a task depends on
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starloom.session import ensure_checkpoint_dir
 
@@ -112,11 +115,18 @@ def map_rows(
 
 
 def _schema(spark: SparkSession, ddl: str):
-    from pyspark.sql.types import StructType
-
+    importable(spark)
     return StructType.fromDDL(ddl)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, if they have no other place."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the fifth of the ids kept for measuring; an id of null is never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

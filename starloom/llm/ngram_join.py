@@ -7,17 +7,20 @@ shingles, the first n - a + l of one set and of the other have l in common.  Eac
 class picks its l: a longer prefix means more rows to match, but l matches are asked for
 before a pair is verified.  The costs are estimated from shingle frequencies.
 
-* Order: frequent shingles last, by a count sketch over all documents (a fixed size);
-  it shapes the cost alone, never the result.
-* Shingles in few prefixes: pairs with enough matches are verified by exact set intersection.
-* Shingles in more than ``DENSE`` prefixes: listing pairs would grow with the square of a group.
-  The classes that hold them are dealt into blocks; a task gets two blocks, intersects
+* Order: frequent shingles last, by counts over all documents; at most
+  ``FREQUENT`` of them can exist.  The order shapes the cost alone, never the result.
+* Shingles in few prefixes: pairs with enough matches are candidates; those that share
+  a neighbour are put in one bucket.
+* Shingles in more than ``DENSE`` prefixes: listing pairs would grow with the square of a group,
+  so the classes that hold them go to a bucket as they are.
+* Verification: the classes of a bucket are dealt into blocks; a task gets two blocks, intersects
   all their sets by matrix products and returns a spanning forest of the links only.
 * Links become components by star steps.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starloom.llm.batches import Scratch, map_rows
+from starloom.llm import bloom
+from starloom.llm.batches import Scratch, importable, map_rows
 from starloom.llm.components import components
 from starloom.llm.words import BLANK_SEPARATED, distinct_shingles, mix, words_of
 
@@ -35,78 +39,83 @@ PERCENT = 85
 MAX_MATCHES = 4
 DENSE = 48
 BLOCK_DOCS = 192
-SKETCH_BITS = 20
-_SLICE = 1 << 14
-_MATCH_COST, _VERIFY_COST = 1.0, 6.0
+FREQUENT = 1 << 21
+LEAST_FREQUENT = 12
+COUNT_BLOCK = 1 << 22
+_ELSEWHERE = 0.05  # other holders that a shingle is expected to have when it isn't frequent
+_MATCH_COST, _VERIFY_COST = 0.5, 0.01
 
 
 def _sets(piece: pa.RecordBatch) -> list[np.ndarray]:
     return distinct_shingles(words_of(piece.column("text"), BLANK_SEPARATED), K)
 
 
-def _sketch(docs: DataFrame) -> np.ndarray:
-    """Counts of all shingles of all documents in 2**SKETCH_BITS cells."""
+def _frequent(docs: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles of all documents, sorted, and about how many documents hold each.
+
+    A task counts the shingles of blocks of ``COUNT_BLOCK`` and reports those it met twice.
+    A shingle is frequent at 1 / ``FREQUENT`` of all occurrences, so no more than that many are.
+    """
 
     def make():
-        cells = np.zeros(1 << SKETCH_BITS, np.uint32)
+        held: list[np.ndarray] = []
+        size = 0
+
+        def report():
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            often = counts > 1
+            total = pa.array([int(counts.sum())], pa.int64())
+            yield {"shingle": pa.nulls(1, pa.int64()), "n": total}
+            if often.any():
+                yield {"shingle": pa.array(values[often].view(np.int64)), "n": pa.array(counts[often], pa.int64())}
 
         def compute(piece):
+            nonlocal size
             if piece is not None:
                 for values in _sets(piece):
-                    np.add.at(cells, (values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-                return
-            for a in range(0, len(cells), _SLICE):
-                part = cells[a : a + _SLICE]
-                if part.any():
-                    yield {"slice": pa.array([a // _SLICE], pa.int32()), "cells": pa.array([part.tobytes()], pa.binary())}
+                    held.append(values)
+                    size += len(values)
+            if size and (piece is None or size >= COUNT_BLOCK):
+                yield from report()
+                held.clear()
+                size = 0
 
         return compute
 
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for s, raw in zip(batch.column("slice").to_pylist(), batch.column("cells")):
-                part = np.frombuffer(raw.as_buffer(), np.uint32)
-                sums[s] = sums[s] + part if s in sums else part.astype(np.uint64)
-        if sums:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
-                names=["slice", "cells"],
-            )
-
-    parts = map_rows(docs.select("text"), make, "slice int, cells binary", finish=True)
-    rows = parts.repartition("slice").mapInArrow(total, "slice int, cells binary").collect()
-    out = np.zeros(1 << SKETCH_BITS, np.float32)
-    for row in rows:
-        out[row["slice"] * _SLICE : (row["slice"] + 1) * _SLICE] = np.frombuffer(row["cells"], np.uint64)
-    return out
+    counts = map_rows(docs.select("text"), make, "shingle long, n long", finish=True)
+    sums = scratch.keep(counts.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_FREQUENT))
+    total = sums.where("shingle IS NULL").agg(F.sum("n")).first()[0] or 0
+    often = sums.where(F.col("shingle").isNotNull() & (F.col("n") >= total / FREQUENT)).toArrow()
+    scratch.remove(sums)
+    shingles = often.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], often.column("n").to_numpy()[order].astype(np.float32)
 
 
 def _needed(n: np.ndarray | int):
     return (PERCENT * n + 99) // 100
 
 
-def _choose(counts: np.ndarray, n: int) -> int:
-    """The number of matches to ask for, from the frequencies of the shingles in prefix order."""
+def _choose(others: np.ndarray, n: int) -> int:
+    """The number of matches to ask for; ``others``: holders expected of each shingle in prefix order."""
     base = n - int(_needed(n))
     best, least = 1, np.inf
     for matches in range(1, min(MAX_MATCHES, n - base) + 1):
-        rows = float(counts[: base + matches].sum())
-        cost = _MATCH_COST * rows + _VERIFY_COST * n * rows / matches / matches
+        rows = float(others[: base + matches].sum())
+        cost = base + matches + rows * _MATCH_COST + rows / matches**2 * (1 + _VERIFY_COST * n)
         if cost < least:
             best, least = matches, cost
     return best
 
 
-def _prefixes(docs: DataFrame) -> DataFrame:
+def _prefixes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Per document: set size, signature of the set, matches asked for, prefix shingles in order."""
-    counts = docs.sparkSession.sparkContext.broadcast(_sketch(docs))
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, scratch))
 
     def make():
-        cells = counts.value
-        noise = float(cells.mean()) + 4 * float(np.sqrt(cells.mean())) + 1
-        rank = np.log2(np.maximum(cells / noise, 1)).astype(np.uint8)
-        above = np.maximum(cells - float(cells.mean()), 0)
+        often, counts = frequent.value
+        often = np.append(often, np.uint64(2**64 - 1))  # so that every search ends at an entry
+        counts = np.append(counts, np.float32(0))
 
         def compute(piece):
             n_all, sigs, matches, prefixes = [], [], [], []
@@ -122,9 +131,10 @@ def _prefixes(docs: DataFrame) -> DataFrame:
                     matches.append(0)
                     prefixes.append(np.zeros(0, np.int64))
                     continue
-                cell = (values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                order = np.lexsort((values, rank[cell]))
-                want = _choose(above[cell[order]], n)
+                near = np.searchsorted(often, values)
+                held = np.where(often[near] == values, counts[near], 0)
+                order = np.argsort(np.log2(1 + held).astype(np.int8), kind="stable")
+                want = _choose(np.maximum(held[order], _ELSEWHERE), n)
                 matches.append(want)
                 prefixes.append(values[order[: n - int(_needed(n)) + want]].view(np.int64))
             first = np.zeros(len(prefixes) + 1, np.int32)
@@ -141,9 +151,17 @@ def _prefixes(docs: DataFrame) -> DataFrame:
     return map_rows(rows, make, "doc_id long, n long, sig binary, matches int, prefix array<long>")
 
 
-def _shingle_table(docs: DataFrame) -> DataFrame:
+def _shingle_table(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """(node, shingles) of the documents in ``needed`` and of few others: a Bloom filter spares most texts."""
+    bits, probes = bloom.shape(needed.count(), 0.01)
+    words = docs.sparkSession.sparkContext.broadcast(bloom.build(needed.select(*bloom.hashes("node")), bits, probes))
+
     def make():
         def compute(piece):
+            h1, h2 = piece.column("h1").to_numpy(), piece.column("h2").to_numpy()
+            piece = piece.filter(pa.array(bloom.probe(words.value, probes, h1, h2)))
+            if piece.num_rows == 0:
+                return
             sets = _sets(piece)
             first = np.zeros(len(sets) + 1, np.int32)
             np.cumsum([len(s) for s in sets], out=first[1:])
@@ -154,7 +172,8 @@ def _shingle_table(docs: DataFrame) -> DataFrame:
 
         return compute
 
-    return map_rows(docs.select("node", "text"), make, "node long, shingles array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("node"), "text").select("node", "text", *bloom.hashes("node"))
+    return map_rows(rows, make, "node long, shingles array<long>")
 
 
 def _links_in(nodes: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
@@ -188,41 +207,72 @@ def _links_in(nodes: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     return np.stack([nodes[moved], nodes[label[moved]]], axis=1)
 
 
-def _dense_links(blocks: DataFrame) -> DataFrame:
-    """Links within each group of (bucket, i, j)."""
+def _verified(blocks: DataFrame) -> DataFrame:
+    """Links (u, v) within each group (bucket, i, j) of (node, shingles)."""
 
-    def links(table: pa.Table) -> pa.Table:
-        nodes = table.column("node").to_numpy()
-        order = np.argsort(nodes, kind="stable")
-        column = table.column("shingles").combine_chunks()
-        sets = [np.asarray(column[int(i)].values) for i in order]
-        pairs = _links_in(nodes[order], sets)
-        return pa.table({"u": pa.array(pairs[:, 0], pa.int64()), "v": pa.array(pairs[:, 1], pa.int64())})
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes, sets = None, [], []
 
-    return blocks.groupBy("bucket", "i", "j").applyInArrow(links, "u long, v long")
+        def result():
+            pairs = _links_in(np.array(nodes), sets)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            groups = zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j")))
+            lists = batch.column("shingles")
+            values, first = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            for r, (group, node) in enumerate(zip(groups, batch.column("node").to_pylist())):
+                if group != key:
+                    if len(nodes) > 1:
+                        yield result()
+                    key, nodes, sets = group, [], []
+                nodes.append(node)
+                sets.append(values[first[r] : first[r + 1]].copy())
+        if len(nodes) > 1:
+            yield result()
+
+    importable(blocks.sparkSession)
+    dealt = blocks.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
+    return dealt.select("bucket", "i", "j", "node", "shingles").mapInArrow(links, "u long, v long")
 
 
 def _spread(members: DataFrame) -> DataFrame:
-    """(bucket, i, j, node): each member of a bucket meets every other one in some pair of blocks."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    dealt = members.join(sizes, "bucket").withColumn(
+    """(bucket, i, j, node): members of a bucket that may link by their sizes meet in some pair of blocks.
+
+    Sizes are put in levels so that linked sets are at most one level apart; group k of a
+    bucket has the levels k - 1 and k, and is left out if it has none of level k.
+    """
+    level = F.floor(F.log("n") / -math.log((PERCENT - 1) / 100)).cast("int")
+    leveled = members.select("bucket", "node", level.alias("level")).select(
+        "bucket", "node", "level", F.explode(F.array("level", F.col("level") + 1)).alias("k")
+    )
+    sizes = leveled.groupBy("bucket", "k").agg(
+        F.count("*").alias("members"), F.max(F.col("k") == F.col("level")).alias("own")
+    ).where("members > 1 AND own")
+    dealt = leveled.join(sizes.drop("own"), ["bucket", "k"]).withColumn(
         "blocks", F.ceil(F.col("members") / BLOCK_DOCS).cast("int")
     ).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     return dealt.select(
-        "bucket", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+        F.xxhash64("bucket", "k").alias("bucket"), "node", "own",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     ).select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
 
 
-def _candidates(classes: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Pairs (x, y) with enough rare matches, and members (bucket, node) of frequent shingles."""
-    rows = classes.where("n > 0").select(
-        "node", "n", "matches", F.posexplode("prefix").alias("at", "shingle")
-    ).withColumn(
-        # the least number of matches whose prefix holds this shingle
-        "level", F.greatest(F.lit(1), F.col("at") + 1 - (F.col("n") - F.floor((PERCENT * F.col("n") + 99) / 100))).cast("int")
+def _members(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(bucket, node, n): any two classes that may link share a bucket.
+
+    ``meta`` packs set size, position in the prefix and matches asked for, to keep the sorted rows narrow.
+    """
+    rows = classes.select("node", "n", "matches", F.posexplode("prefix").alias("at", "shingle")).select(
+        "shingle", "node", F.expr("shiftleft(n, 32) + at * 8L + matches").alias("meta")
     )
     counted = rows.withColumn("df", F.count("*").over(Window.partitionBy("shingle"))).where("df > 1")
-    counted = scratch.keep(counted.select("node", "n", "matches", "at", "shingle", "level", "df"))
+    n, at, matches = F.expr("shiftright(meta, 32)"), F.expr("shiftright(meta & 4294967295L, 3)"), F.expr("meta & 7L")
+    # the least number of matches whose prefix holds this shingle
+    level = F.greatest(F.lit(1), at + 1 - (n - F.floor((PERCENT * n + 99) / 100)))
+    counted = scratch.keep(counted.select(
+        "shingle", "node", n.alias("n"), at.alias("at"), matches.alias("matches"), level.alias("level"), "df"
+    ))
     few = counted.where(F.col("df") <= DENSE)
     x, y = few.alias("x"), few.alias("y")
     want = F.least("x.matches", "y.matches")
@@ -234,33 +284,34 @@ def _candidates(classes: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFr
             & (F.greatest("x.level", "y.level") <= want),
         )
         .groupBy(F.col("x.node").alias("x"), F.col("y.node").alias("y"))
-        .agg(F.count("*").alias("shared"), F.first(want).alias("want"))
-        .where("shared >= want").select("x", "y")
+        .agg(F.count("*").alias("shared"), F.first(want).alias("want"), F.first("x.n").alias("nx"), F.first("y.n").alias("ny"))
+        .where("shared >= want").select("x", "y", "nx", "ny")
     )
-    many = counted.where(F.col("df") > DENSE).select("node", "shingle", "at")
-    head = many.groupBy("node").agg(F.min_by("shingle", "at").alias("head"))
+    pairs = scratch.keep(pairs)
+    # candidates of one group mostly have the same least neighbour and so come together once
+    least = (
+        pairs.select("x", "y").union(pairs.select("y", "x")).groupBy("x")
+        .agg(F.least(F.min("y"), F.first("x")).alias("least"))
+    )
+    near = pairs.join(least, "x").select(
+        F.struct(F.lit(0).alias("kind"), F.col("least").alias("id")).alias("bucket"),
+        F.explode(F.array(F.struct(F.col("x").alias("node"), F.col("nx").alias("n")), F.struct("y", "ny"))).alias("e"),
+    ).select("bucket", "e.node", "e.n")
+    many = counted.where(F.col("df") > DENSE).select("node", "n", "shingle", "at")
+    head = many.groupBy("node").agg(F.min_by("shingle", F.struct("at", "shingle")).alias("head"))
     # shingles that occur together share one bucket; any choice is right, this one keeps copies few
-    bucket = many.join(head, "node").groupBy("shingle").agg(F.min("head").alias("bucket"))
-    members = many.join(bucket, "shingle").select("bucket", "node").distinct()
-    return pairs, members
+    chosen = many.join(head, "node").groupBy("shingle").agg(F.min("head").alias("head"))
+    dense = many.join(chosen, "shingle").select(
+        F.struct(F.lit(1).alias("kind"), F.col("head").alias("id")).alias("bucket"), "node", "n"
+    )
+    return near.union(dense).select(F.xxhash64("bucket").alias("bucket"), "node", "n").distinct()
 
 
 def _links(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    pairs, members = _candidates(classes, scratch)
-    pairs, members = scratch.keep(pairs), scratch.keep(members)
-    needed = (
-        pairs.select(F.explode(F.array("x", "y")).alias("node")).union(members.select("node")).distinct()
-    )
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(needed, "node", "left_semi")
-    sets = scratch.keep(_shingle_table(texts))
-    sized = (
-        pairs.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("a")), "x")
-        .join(sets.select(F.col("node").alias("y"), F.col("shingles").alias("b")), "y")
-        .select("x", "y", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("both"))
-    )
-    rare = sized.where(100 * F.col("both") >= PERCENT * (F.col("na") + F.col("nb") - F.col("both")))
-    dense = _dense_links(_spread(members).join(sets, "node"))
-    return rare.select(F.col("x").alias("u"), F.col("y").alias("v")).union(dense)
+    members = scratch.keep(_members(classes, scratch))
+    spread = scratch.keep(_spread(members))
+    sets = _shingle_table(docs, spread.select("node").distinct())
+    return _verified(spread.join(sets, "node"))
 
 
 def near_duplicate_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -272,13 +323,13 @@ def near_duplicate_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     links; a row whose id is null takes no part and gets a null component.  No rows give no rows.
     """
     known = docs.where("doc_id IS NOT NULL")
-    prefixes = scratch.keep(_prefixes(known))
-    grouped = prefixes.where("n > 0").groupBy("sig", "n").agg(
+    prefixes = scratch.keep(_prefixes(known, scratch))
+    filled = prefixes.where("n > 0").groupBy("sig", "n")
+    classes = filled.agg(
         F.min("doc_id").alias("node"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix")
     )
-    classes = scratch.keep(grouped)
     parts = components(_links(known, classes, scratch), scratch)
-    roots = classes.select("sig", "n", "node").join(
+    roots = filled.agg(F.min("doc_id").alias("node")).join(
         parts.select(F.col("u").alias("node"), "v"), "node", "left"
     ).select("sig", "n", F.coalesce("v", "node").alias("root"))
     members = prefixes.select("doc_id", "n", "sig").join(roots, ["sig", "n"], "left")
