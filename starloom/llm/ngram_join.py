@@ -295,7 +295,7 @@ def _members(classes: DataFrame, scratch: Scratch) -> DataFrame:
     )
     near = pairs.join(least, "x").select(
         F.struct(F.lit(0).alias("kind"), F.col("least").alias("id")).alias("bucket"),
-        F.explode(F.array(F.struct(F.col("x").alias("node"), F.col("nx").alias("n")), F.struct("y", "ny"))).alias("e"),
+        F.explode(F.array(F.struct(F.col("x").alias("node"), F.col("nx").alias("n")), F.struct(F.col("y").alias("node"), F.col("ny").alias("n")))).alias("e"),
     ).select("bucket", "e.node", "e.n")
     many = counted.where(F.col("df") > DENSE).select("node", "n", "shingle", "at")
     head = many.groupBy("node").agg(F.min_by("shingle", F.struct("at", "shingle")).alias("head"))
