@@ -36,14 +36,15 @@ from starloom.llm.words import BLANK_SEPARATED, distinct_shingles, mix, words_of
 
 K = 4
 PERCENT = 85
-MAX_MATCHES = 4
+MATCHES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 DENSE = 48
 BLOCK_DOCS = 192
-FREQUENT = 1 << 21
+FREQUENT = 1 << 22
 LEAST_FREQUENT = 12
 COUNT_BLOCK = 1 << 22
 _ELSEWHERE = 0.05  # other holders that a shingle is expected to have when it isn't frequent
-_MATCH_COST, _VERIFY_COST = 0.5, 0.01
+# in rows moved: a match, and a verified candidate for each shingle of its set
+_MATCH_COST, _VERIFY_COST = 0.5, 0.8
 
 
 def _sets(piece: pa.RecordBatch) -> list[np.ndarray]:
@@ -100,7 +101,7 @@ def _choose(others: np.ndarray, n: int) -> int:
     """The number of matches to ask for; ``others``: holders expected of each shingle in prefix order."""
     base = n - int(_needed(n))
     best, least = 1, np.inf
-    for matches in range(1, min(MAX_MATCHES, n - base) + 1):
+    for matches in (m for m in MATCHES if m <= n - base):
         rows = float(others[: base + matches].sum())
         cost = base + matches + rows * _MATCH_COST + rows / matches**2 * (1 + _VERIFY_COST * n)
         if cost < least:
@@ -264,10 +265,10 @@ def _members(classes: DataFrame, scratch: Scratch) -> DataFrame:
     ``meta`` packs set size, position in the prefix and matches asked for, to keep the sorted rows narrow.
     """
     rows = classes.select("node", "n", "matches", F.posexplode("prefix").alias("at", "shingle")).select(
-        "shingle", "node", F.expr("shiftleft(n, 32) + at * 8L + matches").alias("meta")
+        "shingle", "node", F.expr("shiftleft(n, 32) + at * 128L + matches").alias("meta")
     )
     counted = rows.withColumn("df", F.count("*").over(Window.partitionBy("shingle"))).where("df > 1")
-    n, at, matches = F.expr("shiftright(meta, 32)"), F.expr("shiftright(meta & 4294967295L, 3)"), F.expr("meta & 7L")
+    n, at, matches = F.expr("shiftright(meta, 32)"), F.expr("shiftright(meta & 4294967295L, 7)"), F.expr("meta & 127L")
     # the least number of matches whose prefix holds this shingle
     level = F.greatest(F.lit(1), at + 1 - (n - F.floor((PERCENT * n + 99) / 100)))
     counted = scratch.keep(counted.select(
