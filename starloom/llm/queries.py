@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, ngram_join
-from starloom.llm.batches import Scratch
+from starloom.llm import chat, decontaminate, language, ngram_join, quality, topk, url_filter
+from starloom.llm.batches import Scratch, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +90,104 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     marked = decontaminate.mark_contaminated(docs, _table(spark, folder, "benchmark"))
     return marked.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@_query()
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the training fold."""
+    docs = _table(spark, folder, "documents")
+    model = language.train(language.train_fold(docs.select("doc_id", "text", "lang")))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "lang_shares")
+
+
+@_query()
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels of the training fold."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, _table(spark, folder, "labels"))
+    return quality.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+_TOP_SQL = """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM rows q JOIN rows c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
+@_query(_TOP_SQL)
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best of all vectors for each whose id is divisible by 20."""
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20, Scratch(spark))
+
+
+# Verdict, host and path of each rule, as the contract states them.
+URL_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+
+_URL_SQL = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest
+  FROM pages
+), urls AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path FROM parts
+), rules(verdict, h, p) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), best AS (
+  SELECT page_id, arg_max(h || p, length(h) * 1000 + length(p)) AS rule, arg_max(verdict, length(h) * 1000 + length(p)) AS verdict
+  FROM urls JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN regexp_matches(host, '(^|[.-])spam[.-]') THEN 'block' ELSE 'allow' END) AS verdict
+FROM urls LEFT JOIN best USING (page_id)
+"""
+
+
+@_query(_URL_SQL)
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page; without a rule, hosts with the word spam in their name are listed."""
+    pages = _table(spark, folder, "pages").select("page_id", "url")
+    host, _ = url_filter.host_and_path()
+    listed = pages.select(host.alias("key")).distinct().where(F.col("key").rlike(r"(^|[.-])spam[.-]"))
+    judged = url_filter.judge(pages, URL_RULES, listed, Scratch(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+_ESCAPED = r"regexp_replace(coalesce({0}, ''), '\\|<\|im_start\|>|<\|im_sep\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>', 'x\0', 'g')"
+
+_CHAT_SQL = f"""
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t,
+    length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')}) + 32 AS chars,
+    row_number() OVER w AS i, sum(chars) OVER w AS upto, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY i)) AS turns_sha256,
+  coalesce(sum(length(t)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY i) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  coalesce(sum(upto) FILTER (r = 'assistant' OR i = n), 0)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+@_query(_CHAT_SQL)
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one made of control strings, formatted and read back."""
+    control = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.digests(chat.examples(rows))
