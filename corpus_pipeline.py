@@ -10,9 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, ngram_join
+from starloom.llm import decontaminate, language, ngram_join, pieces, pii
 from starloom.llm.batches import Scratch
 
+#: A text in which no language holds this share of the words is rejected.
+MIN_SHARE = 0.3
+
+
+def _whole(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct beside id and text, so that no column of a stage can clash with one of theirs."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no language go: those without a letter, and those no learned language accounts for."""
+    model = language.train(language.train_fold(docs.select("doc_id", "text", "lang")))
+    found = language.identify(_whole(docs), model)
+    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SHARE)).select("_row.*")
+
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
@@ -21,16 +36,34 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
-    marked = decontaminate.mark_contaminated(
-        docs.withColumn("_row", F.struct(*docs.columns)).select("_row", "text"),
-        spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
-    )
+    marked = decontaminate.mark_contaminated(_whole(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return marked.where("NOT contaminated").select("_row.*")
 
 
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in texts is replaced by its kind; ``n_chars`` follows the text where it changed."""
+    clean = pii.redact(_whole(docs))
+    values = {c: F.col(f"_row.{c}") for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed = ~F.col("text").eqNullSafe(F.col("_row.text"))
+        values["n_chars"] = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+    return clean.select(*[values[c].alias(c) for c in docs.columns])
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the pieces of each text, their digest, and whether they decode to the text."""
+    coded = pieces.digest(pieces.decode(pieces.encode(docs.select("doc_id", "text"))))
+    return coded.select(
+        "doc_id", "text", "n_pieces", "ids_sha256", F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"), "ids"
+    )
+
+
 STAGES = [
+    ("language_id", identified),
     ("ngram_join", distinct_texts),
     ("decontamination", uncontaminated),
+    ("pii", redacted),
+    ("pieces", encoded),
 ]
 
 #: Not expressible in SQL: the language model is learned.

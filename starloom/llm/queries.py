@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontaminate, language, ngram_join, quality, topk, url_filter
+from starloom.llm import (
+    chat, decontaminate, language, ngram_join, pieces, pii, quality, token_counts, topk, url_filter,
+)
 from starloom.llm.batches import Scratch, held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +193,28 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
     return chat.digests(chat.examples(rows))
+
+
+@_query()
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document before and after redactions, counted through its tree."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    edited = token_counts.apply_edits(token_counts.build_trees(token_counts.redactions(docs)))
+    return edited.select(
+        "doc_id", "tokens_before", "n_edits", "tokens_after", "reencoded", F.size("lengths").cast("long").alias("n_pretokens")
+    )
+
+
+@_query()
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find(_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+@_query()
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as piece ids, and whether they decode to its text."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    coded = pieces.digest(pieces.decode(pieces.encode(docs)))
+    return coded.select("doc_id", "n_pieces", "ids_sha256", F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"), "ids")
