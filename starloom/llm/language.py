@@ -184,7 +184,7 @@ def train(labelled: DataFrame) -> Model:
     counts = np.zeros((len(languages), CELLS))
     index = {name: i for i, name in enumerate(languages)}
     counts[[index[x] for x in table.column("lang").to_pylist()], table.column("cell").to_numpy()] = table.column("n").to_numpy()
-    by_order = counts.reshape(len(languages), len(ORDERS), -1) + 0.5
+    by_order = counts.reshape(len(languages), len(ORDERS), 1 << CELL_BITS) + 0.5
     logs = np.log(by_order / by_order.sum(axis=2, keepdims=True)).reshape(len(languages), CELLS)
     return Model(languages, np.ascontiguousarray(logs.T, np.float32))
 

@@ -36,18 +36,18 @@ class Cascade:
         out = np.full(len(h1), len(self.levels) % 2 == 1)
         left = np.arange(len(h1))
         for i, (words, probes) in enumerate(self.levels):
-            known = bloom.probe(words, probes, h1[left], h2[left])
+            known = bloom.probe(words, probes, h1[left], h2[left], i)
             out[left[~known]] = i % 2 == 1
             left = left[known]
         return out
 
 
-def _passing(keys: DataFrame, words: np.ndarray, probes: int) -> DataFrame:
+def _passing(keys: DataFrame, words: np.ndarray, probes: int, level: int) -> DataFrame:
     held = keys.sparkSession.sparkContext.broadcast(words)
 
     def make():
         def compute(piece):
-            found = bloom.probe(held.value, probes, piece.column("h1").to_numpy(), piece.column("h2").to_numpy())
+            found = bloom.probe(held.value, probes, piece.column("h1").to_numpy(), piece.column("h2").to_numpy(), level)
             return {"known": pa.array(found)}
 
         return compute
@@ -72,9 +72,9 @@ def build_cascade(universe: DataFrame, listed: DataFrame, scratch: Scratch) -> C
         if len(levels) == _MAX_LEVELS:
             raise RuntimeError("two keys have the same hashes")
         bits, probes = bloom.shape(n, rate)
-        words = bloom.build(inside, bits, probes)
+        words = bloom.build(inside, bits, probes, len(levels))
+        wrong = scratch.keep(_passing(outside, words, probes, len(levels)))
         levels.append((words, probes))
-        wrong = scratch.keep(_passing(outside, words, probes))
         inside, outside, n, rate = wrong, inside, wrong.count(), 0.5
     return Cascade(levels)
 
