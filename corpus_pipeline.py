@@ -52,7 +52,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the pieces of each text, their digest, and whether they decode to the text."""
-    coded = pieces.digest(pieces.decode(pieces.encode(docs.select("doc_id", "text"))))
+    coded = pieces.coded(docs.select("doc_id", "text"))
     return coded.select(
         "doc_id", "text", "n_pieces", "ids_sha256", F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"), "ids"
     )

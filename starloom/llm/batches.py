@@ -87,6 +87,27 @@ def append_columns(
     return df.mapInArrow(run, out)
 
 
+def append_steps(df: DataFrame, steps: list[tuple[Callable, str]], *, text: str | None = "text") -> DataFrame:
+    """:func:`append_columns` for several (make, added) one after another, in one worker for each task."""
+    added = ", ".join(a for _, a in steps)
+
+    def make():
+        computes = [m() for m, _ in steps]
+
+        def compute(piece: pa.RecordBatch) -> dict[str, pa.Array]:
+            out: dict[str, pa.Array] = {}
+            for step in computes:
+                new = step(piece)
+                out |= new
+                kept = [(n, piece.column(n)) for n in piece.schema.names if n not in new]
+                piece = pa.RecordBatch.from_arrays([a for _, a in kept] + list(new.values()), names=[n for n, _ in kept] + list(new))
+            return out
+
+        return compute
+
+    return append_columns(df, make, added, text=text)
+
+
 def map_rows(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict[str, pa.Array]]]],

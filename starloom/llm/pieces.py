@@ -22,14 +22,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from starloom.llm.batches import append_columns
+from starloom.llm.batches import append_columns, append_steps
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
 ENCODED = "ids array<int>"
 DECODED = "decoded string"
+DIGESTED = "n_pieces long, ids_sha256 string"
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -158,12 +159,9 @@ def _coder(docs: DataFrame, path: str):
         return docs.sparkSession.sparkContext.broadcast(read_model(file.read()))
 
 
-def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """``docs`` with ``ids`` of its ``text``: null for null, empty for empty; a column of this name is replaced."""
-    model = _coder(docs, path)
-
+def _encoding(model):
     def make():
-        coder = Coder(model.value)
+        coder = _shared(model)
 
         def compute(piece):
             rows = [None if t is None else coder.encode(t) for t in piece.column("text").to_pylist()]
@@ -171,18 +169,12 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
         return compute
 
-    return append_columns(docs, make, ENCODED)
+    return make, ENCODED
 
 
-def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
-    """``encoded`` with ``decoded``, the text of its ``ids``: null for null.
-
-    Equal to the text that was encoded, but for U+2581, which decodes as a blank.
-    """
-    model = _coder(encoded, path)
-
+def _decoding(model):
     def make():
-        coder = Coder(model.value)
+        coder = _shared(model)
 
         def compute(piece):
             rows = [None if x is None else coder.decode(x) for x in piece.column("ids").to_pylist()]
@@ -190,20 +182,51 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
 
         return compute
 
-    return append_columns(encoded, make, DECODED, text="text" if "text" in encoded.columns else None)
+    return make, DECODED
+
+
+def _digesting():
+    def compute(piece):
+        lists = piece.column("ids").to_pylist()
+        return {
+            "n_pieces": pa.array([len(x or []) for x in lists], pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(",".join(map(str, x or [])).encode()).hexdigest() for x in lists], pa.string()),
+        }
+
+    return compute
+
+
+_CODERS: dict[int, Coder] = {}
+
+
+def _shared(model) -> Coder:
+    """One coder for each worker and model."""
+    key = id(model.value)
+    if key not in _CODERS:
+        _CODERS.clear()
+        _CODERS[key] = Coder(model.value)
+    return _CODERS[key]
+
+
+def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
+    """``docs`` with ``ids`` of its ``text``: null for null, empty for empty; a column of this name is replaced."""
+    return append_columns(docs, *_encoding(_coder(docs, path)))
+
+
+def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
+    """``encoded`` with ``decoded``, the text of its ``ids``: null for null.
+
+    Equal to the text that was encoded, but for U+2581, which decodes as a blank.
+    """
+    return append_columns(encoded, *_decoding(_coder(encoded, path)), text="text" if "text" in encoded.columns else None)
 
 
 def digest(encoded: DataFrame) -> DataFrame:
     """``encoded`` with ``n_pieces`` and ``ids_sha256``, the digest of the ids joined by commas (null ids: as none)."""
+    return append_columns(encoded, lambda: _digesting(), DIGESTED, text=None)
 
-    def make():
-        def compute(piece):
-            lists = piece.column("ids").to_pylist()
-            return {
-                "n_pieces": pa.array([len(x or []) for x in lists], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(",".join(map(str, x or [])).encode()).hexdigest() for x in lists]),
-            }
-
-        return compute
 
-    return append_columns(encoded, make, "n_pieces long, ids_sha256 string", text=None)
+def coded(docs: DataFrame, path: str = MODEL) -> DataFrame:
+    """:func:`encode`, :func:`decode` and :func:`digest` in one pass."""
+    model = _coder(docs, path)
+    return append_steps(docs, [_encoding(model), _decoding(model), (lambda: _digesting(), DIGESTED)])

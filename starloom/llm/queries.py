@@ -199,7 +199,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document before and after redactions, counted through its tree."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    edited = token_counts.apply_edits(token_counts.build_trees(token_counts.redactions(docs)))
+    edited = token_counts.counted_through_edits(token_counts.redactions(docs))
     return edited.select(
         "doc_id", "tokens_before", "n_edits", "tokens_after", "reencoded", F.size("lengths").cast("long").alias("n_pretokens")
     )
@@ -216,5 +216,5 @@ def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as piece ids, and whether they decode to its text."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    coded = pieces.digest(pieces.decode(pieces.encode(docs)))
+    coded = pieces.coded(docs)
     return coded.select("doc_id", "n_pieces", "ids_sha256", F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"), "ids")

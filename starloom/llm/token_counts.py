@@ -19,14 +19,14 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.batches import append_columns
+from starloom.llm.batches import append_columns, append_steps
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-token pattern of this vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 32
 CONTEXT = 2
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 TREE = "lengths array<int>, counts array<int>, leaves array<int>, tree_chars array<long>, tree_tokens array<long>"
 EDITED = "tokens_before long, tokens_after long, n_edits long, reencoded long"
 
@@ -155,11 +155,23 @@ def edit(text: str, tree: Tree, start: int, end: int, new: str, counter: Counter
     return changed, tree, len(lengths)
 
 
+_COUNTERS: dict[int, Counter] = {}
+
+
 def _counter(docs: DataFrame, path: str) -> Callable[[], Counter]:
     with open(path, "rb") as file:  # a parameter of the driver; tasks get it as a broadcast of some megabytes
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
     held = docs.sparkSession.sparkContext.broadcast(ranks)
-    return lambda: Counter(held.value)
+
+    def counter() -> Counter:
+        """One for each worker and vocabulary."""
+        key = id(held.value)
+        if key not in _COUNTERS:
+            _COUNTERS.clear()
+            _COUNTERS[key] = Counter(held.value)
+        return _COUNTERS[key]
+
+    return counter
 
 
 def _column(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -171,8 +183,10 @@ def _column(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def build_trees(docs: DataFrame, path: str = RANKS) -> DataFrame:
     """``docs`` with the tree of its ``text`` as columns (null and empty texts: an empty tree), replacing columns of these names."""
-    counter = _counter(docs, path)
+    return append_columns(docs, *_building(_counter(docs, path)))
 
+
+def _building(counter: Callable[[], Counter]):
     def make():
         own = counter()
 
@@ -188,7 +202,7 @@ def build_trees(docs: DataFrame, path: str = RANKS) -> DataFrame:
 
         return compute
 
-    return append_columns(docs, make, TREE)
+    return make, TREE
 
 
 def apply_edits(trees: DataFrame, path: str = RANKS) -> DataFrame:
@@ -198,8 +212,17 @@ def apply_edits(trees: DataFrame, path: str = RANKS) -> DataFrame:
     after, the number of edits and of pre-tokens encoded again.  Places beyond the text are moved to
     its end; null edits are none; null texts count as empty and stay null without edits.
     """
-    counter = _counter(trees, path)
+    return append_columns(trees, *_editing(_counter(trees, path)))
+
+
+def counted_through_edits(docs: DataFrame, path: str = RANKS) -> DataFrame:
+    """:func:`build_trees` of ``docs``, then :func:`apply_edits` of its ``edits``, in one pass."""
+    counter = _counter(docs, path)
+    (build_step, tree), (edit_step, _) = _building(counter), _editing(counter)
+    return append_steps(docs, [(build_step, f"text string, {tree}"), (edit_step, EDITED)])
+
 
+def _editing(counter: Callable[[], Counter]):
     def make():
         own = counter()
 
@@ -227,7 +250,7 @@ def apply_edits(trees: DataFrame, path: str = RANKS) -> DataFrame:
 
         return compute
 
-    return append_columns(trees, make, f"text string, {TREE}, {EDITED}")
+    return make, f"text string, {TREE}, {EDITED}"
 
 
 _REDACTED = regex.compile(r"(?P<mail>[^\s@]{1,64}+@[^\s@]++)|(?P<number>[0-9]{5,}+)")
