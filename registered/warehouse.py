@@ -611,7 +611,7 @@ def programme_dimension_of(spark, folder):
     WITH {PROGRAMMES_SQL}
     SELECT ppg_sk, codigo AS codigo_programa, upper(coalesce(nome, {UNKNOWN})) AS nome_programa, CAST(coalesce(nota, 0) AS DOUBLE) AS nota_programa,
            CASE modalidade WHEN 'ACADÊMICO' THEN 'Acadêmico' ELSE 'Profissional' END AS modalidade,
-           CASE rede WHEN 'S' THEN 'Sim' WHEN 'N' THEN 'Não' ELSE {UNKNOWN} END AS programa_em_rede, codigo_ies, substr({UNKNOWN}, 1, 10) AS uf, {UNKNOWN} AS regiao,
+           CASE rede WHEN 'S' THEN 'Sim' WHEN 'N' THEN 'Não' ELSE {UNKNOWN} END AS programa_em_rede, codigo_ies, {UNKNOWN} AS uf, {UNKNOWN} AS regiao,
            docentes AS quantidade_docentes, ano_base
     FROM programmes
     UNION ALL SELECT 0, '0', {UNKNOWN}, 0, {UNKNOWN}, {UNKNOWN}, 0, 'XX', {UNKNOWN}, 0, 0

@@ -19,8 +19,6 @@ from starloom.functions.text import INTEGRAL, as_column, identifier, identifier_
 from starloom.operators.dedup import one_per_key
 from starloom.operators.shape import present
 
-NULL_SPREAD = 1024
-
 
 def _cleaned(df: DataFrame, key: Column | str, clean) -> Column:
     if clean is None:
@@ -43,14 +41,14 @@ def key_table(dim: DataFrame, key: Column | str, sk: str, clean=identifier) -> D
 def spread_join(left: DataFrame, right: DataFrame, given: Column) -> DataFrame:
     """Left join with ``right`` on its column ``_key``; rows without a key are spread.
 
-    Rows whose key is null get one of many filler values to join on; the extra
+    Rows whose key is null get a hash of the row as filler to join on; the extra
     condition keeps a filler from ever matching.  Whole numbers join as bigint,
     anything else as text.
     """
     keyed = left.withColumn("_given", given)
-    bucket = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD))
+    bucket = F.xxhash64(*left.columns)
     if dict(keyed.dtypes)["_given"] in INTEGRAL and dict(right.dtypes)["_key"] in INTEGRAL:
-        kind, filler = "bigint", -1 - bucket
+        kind, filler = "bigint", bucket
     else:
         kind, filler = "string", F.concat(F.lit("\u0000"), bucket.cast("string"))
     keyed = keyed.withColumn("_lookup", F.coalesce(F.col("_given").cast(kind), filler))

@@ -80,13 +80,13 @@ class RuleSet:
     def _refusal(self, rule: Rule, columns: Sequence[str]) -> str | None:
         """V8: why a rule cannot run at all."""
         if rule.column not in columns:
-            return f"Column '{rule.column}' not found"
+            return f"no column named {rule.column}"
         if rule.kind not in RULE_TYPES:
-            return f"Unknown rule type: {rule.kind}"
+            return f"no rule of kind {rule.kind}"
         if rule.kind == "format" and not rule.parameters.get("pattern"):
-            return "No pattern provided for format validation"
+            return "a format rule needs a pattern"
         if rule.kind == "values" and not rule.parameters.get("values"):
-            return "No allowed values provided for validation"
+            return "a values rule needs its values"
         return None
 
     def _failed_count(self, rule: Rule) -> Column:

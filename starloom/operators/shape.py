@@ -10,7 +10,7 @@ import re
 import unicodedata
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.fixed_values import SK_COLUMN
@@ -187,13 +187,18 @@ def with_natural_id(df: DataFrame, target: str, hint: str) -> DataFrame:
     """``target`` from the first id-like column that mentions ``hint``.
 
     Without one, the id is a content hash: it needs no global row number and is
-    the same on every run.
+    the same on every run.  Equal rows are numbered, so that all of them stay.
     """
     if target in df.columns:
         return df
     source = next((c for c in df.columns if "id" in c.lower() and hint in c.lower()), None)
-    made = F.col(source) if source else F.sha2(F.to_json(F.struct(*df.columns)), 256)
-    return df.withColumn(target, made.cast("string"))
+    if source:
+        return df.withColumn(target, F.col(source).cast("string"))
+    hashed = df.withColumn(target, F.md5(F.to_json(F.struct(*df.columns))))
+    copy = F.row_number().over(Window.partitionBy(target).orderBy(target))
+    return hashed.withColumn("_copy", copy).withColumn(
+        target, F.when(F.col("_copy") == 1, F.col(target)).otherwise(F.concat_ws("-", target, F.col("_copy").cast("string")))
+    ).drop("_copy")
 
 
 def nulls_filled(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

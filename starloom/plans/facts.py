@@ -109,7 +109,7 @@ AUTHORSHIP_SOURCE = "add_producao_autor"
 
 
 def fact_producao_tema(
-    authors: DataFrame, dims: Mapping[str, DataFrame], bridge: DataFrame | None = None, row_id: str | None = "dense"
+    authors: DataFrame, dims: Mapping[str, DataFrame], bridge: DataFrame | None = None, row_id: str | None = "unique"
 ) -> DataFrame:
     """Authorship by theme and goal; distinct rows, ``ods_sk`` in the grain (Q6)."""
     named = rename_all(authors, snake_name)
@@ -150,19 +150,19 @@ GRADUATION_TEXTS = ["hash_id", "uf_tema", "uf_pesquisador", "modelo_explicacao",
 
 
 def fact_titulacao(
-    mappings: DataFrame, dims: Mapping[str, DataFrame | None], base_year: int = 2023, row_id: str | None = "dense"
+    mappings: DataFrame, dims: Mapping[str, DataFrame | None], base_year: int = 2023, row_id: str | None = "unique"
 ) -> DataFrame:
     """Graduates by theme with model scores and match status."""
     rows = with_defaults(rename_all(mappings, light_name), {
         **dict.fromkeys(GRADUATION_SCORES, 0.0), **dict.fromkeys(GRADUATION_TEXTS, ""),
         "tema_id": 0, "modelo_nivel": "NA", "fonte_dados": GRADUATION_SOURCE,
     })
-    upper = ("uf_tema", "uf_pesquisador")
+    states = ("uf_tema", "uf_pesquisador")
     rows = rows.select(
         F.trim(F.coalesce(F.col("hash_id").cast("string"), F.lit(""))).alias("hash_id"),
         numbers.safe_int("tema_id").cast("int").alias("tema_id"),
         F.lit(base_year).alias("ano_base"),
-        *[F.upper(F.coalesce(c, F.lit(""))).alias(c) for c in upper],
+        *[F.when(F.trim(F.coalesce(c, F.lit(""))) == "", "").otherwise(state_code(c)).alias(c) for c in states],
         *[numbers.safe_float(c).alias(c) for c in GRADUATION_SCORES],
         F.upper(F.coalesce("modelo_nivel", F.lit("NA"))).alias("modelo_nivel"),
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("modelo_explicacao", "modelo_erro", "model")],
@@ -170,7 +170,9 @@ def fact_titulacao(
     )
     zero = F.lit(0)
     tempo, tema = dims.get("tempo"), dims.get("tema")
-    rows = lookup_sk(rows, tempo, F.col("ano_base"), F.col("ano"), "tempo_sk", clean=None) if tempo is not None else rows.withColumn("tempo_sk", zero)
+    # one year for all rows: its key is a scalar, no join of the fact
+    day = tempo.filter((F.col("tempo_sk") > 0) & (F.col("ano") == base_year)).agg(F.max("tempo_sk").alias("tempo_sk")).scalar() if tempo is not None else zero
+    rows = rows.withColumn("tempo_sk", F.coalesce(day, zero))
     rows = lookup_sk(rows, tema, F.col("tema_id"), F.col("tema_id"), "tema_sk", clean=None) if tema is not None else rows.withColumn("tema_sk", zero)
     searched = ["id_discente_original", "id_pessoa", "id_lattes"]
     rows = lookup_sk_priority(rows, dims.get("titulado"), "hash_id", searched, "titulado_sk")
@@ -181,7 +183,7 @@ def goal_targets() -> list[tuple[int, str, str]]:
     return [(number, GOAL_DESCRIPTORS[number], name) for number, name, _, _ in GOALS]
 
 
-def fact_tema_ods(dim_tema: DataFrame, row_id: str | None = "dense", day: Column | None = None) -> DataFrame:
+def fact_tema_ods(dim_tema: DataFrame, row_id: str | None = "unique", day: Column | None = None) -> DataFrame:
     """Automatic theme-goal associations from keywords."""
     themes = dim_tema.filter("tema_sk > 0").select("tema_sk", "palavra_chave")
     pairs = match_fixed_targets(themes, "palavra_chave", goal_targets())

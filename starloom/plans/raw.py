@@ -107,7 +107,9 @@ def raw_docente(files: DataFrame) -> DataFrame:
     clean = renamed.withColumns(texts)
     clean = clean.withColumns({c: safe_int(c) for c in present(clean, PROFESSOR_NUMBERS)})
     clean = clean.withColumns({c: F.upper(c) for c in present(clean, PROFESSOR_UPPER)})
-    last = one_per_key(clean, present(clean, PROFESSOR_KEY), input_order(clean, last_first=True))
+    keys = present(clean, PROFESSOR_KEY)
+    # without any key column no two rows are of the same person
+    last = one_per_key(clean, keys, input_order(clean, last_first=True)) if keys else clean
     return leading(without_position(last), PROFESSOR_FIRST)
 
 

@@ -1,6 +1,7 @@
 """Target schemas, one per table: ``(column, SQL type)`` in stored order.
 
-A ``varchar(n)`` type means: store a string, cut to ``n`` characters first (P15).
+A ``varchar(n)`` type means: store a string of at most ``n`` characters.  Only the tables in
+``CUT_TABLES`` shorten longer texts (P15), and never their keys; elsewhere a longer text is an error.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ TABLES: dict[str, list[tuple[str, str]]] = {
         ("ppg_sk", "int"), ("codigo_programa", "varchar(50)"), ("nome_programa", "varchar(500)"),
         ("nota_programa", "decimal(3,1)"), ("modalidade", "varchar(50)"), ("situacao", "varchar(50)"),
         ("programa_em_rede", "varchar(50)"), ("ies_vinculada", "varchar(500)"), ("codigo_ies", "int"),
-        ("uf", "varchar(10)"), ("regiao", "varchar(50)"), ("area_conhecimento", "varchar(200)"),
+        ("uf", "varchar(20)"), ("regiao", "varchar(50)"), ("area_conhecimento", "varchar(200)"),
         ("grande_area", "varchar(200)"), ("area_avaliacao", "varchar(200)"), ("total_cursos", "int"),
         ("quantidade_docentes", "int"), ("quantidade_discentes", "int"), ("ano_base", "int"),
     ],
@@ -146,6 +147,9 @@ GRAIN = {
     ],
 }
 
+# Tables whose long descriptive texts are cut to their width.
+CUT_TABLES = {"dim_discente", "dim_titulado", "dim_posdoc", "dim_docente", "dim_producao"}
+
 _VARCHAR = re.compile(r"varchar\((\d+)\)")
 
 
@@ -153,24 +157,49 @@ def spark_type(sql_type: str) -> str:
     return "string" if _VARCHAR.fullmatch(sql_type) else sql_type
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Columns of ``table`` in stored order, cut and cast; absent ones are null."""
+def _is_key(name: str) -> bool:
+    return name.endswith(("_sk", "_id")) or name.startswith("id_") or name in ("codigo_programa", "cod_entidade_capes")
+
+
+def conform(df: DataFrame, table: str, on_misfit: str = "error") -> DataFrame:
+    """Columns of ``table`` in stored order with their types; absent ones are null.
+
+    A text longer than its column and a value that its type cannot hold are errors.  Descriptive
+    texts of ``CUT_TABLES`` are cut.  ``on_misfit="cut"`` also cuts the texts of other tables and makes
+    values without a fit null, keys excepted; :func:`misfits` counts what that changes.
+    """
+    if on_misfit not in ("error", "cut"):
+        raise ValueError("on_misfit is 'error' or 'cut'")
     columns = []
     for name, sql_type in TABLES[table]:
         if name not in df.columns:
             columns.append(F.lit(None).cast(spark_type(sql_type)).alias(name))
             continue
-        limit = _VARCHAR.fullmatch(sql_type)
+        limit, lenient = _VARCHAR.fullmatch(sql_type), on_misfit == "cut" and not _is_key(name)
         if limit:
-            columns.append(F.substring(F.col(name).cast("string"), 1, int(limit.group(1))).alias(name))
-        elif name.endswith(("_sk", "_id")):
-            # a key that does not fit must fail loudly, not turn into null
-            columns.append(F.col(name).cast(sql_type).alias(name))
+            text, width = F.col(name).cast("string"), int(limit.group(1))
+            if lenient or (table in CUT_TABLES and not _is_key(name)):
+                stored = F.substring(text, 1, width)
+            else:
+                refused = F.raise_error(F.concat(F.lit(f"{table}.{name} holds {width} characters, not: "), text))
+                stored = F.when(F.length(text) > width, refused).otherwise(text)
+            columns.append(stored.alias(name))
         else:
-            columns.append(F.col(name).try_cast(sql_type).alias(name))
+            columns.append((F.col(name).try_cast(sql_type) if lenient else F.col(name).cast(sql_type)).alias(name))
     return df.select(*columns)
 
 
+def misfits(df: DataFrame, table: str) -> DataFrame:
+    """One row: for each column of ``table``, how many values are too long or do not fit its type."""
+    counts = []
+    for name, sql_type in TABLES[table]:
+        if name in df.columns:
+            limit, value = _VARCHAR.fullmatch(sql_type), F.col(name)
+            odd = F.length(value.cast("string")) > int(limit.group(1)) if limit else value.isNotNull() & value.try_cast(sql_type).isNull()
+            counts.append(F.count_if(F.coalesce(odd, F.lit(False))).alias(name))
+    return df.agg(*counts)
+
+
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
     """Typed empty stand-in for a table that is missing."""
     ddl = ", ".join(f"{name} {spark_type(sql_type)}" for name, sql_type in TABLES[table])

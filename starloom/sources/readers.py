@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import glob as globbing
 import os
+import warnings
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from pathlib import Path
 
@@ -111,8 +112,8 @@ def first_available(loaders: Sequence[Callable[[], DataFrame | None]], prefer_lo
             df = load()
             if df is not None and not df.isEmpty():
                 return df
-        except (AnalysisException, FileNotFoundError, ValueError):
-            continue
+        except (AnalysisException, FileNotFoundError, ValueError) as error:
+            warnings.warn(f"source passed over: {str(error).splitlines()[0][:200]}", stacklevel=2)
     raise SourceMissing("no source of the chain has data")
 
 
@@ -131,12 +132,12 @@ def find_path(explicit: str | None, folder: str, names: Sequence[str], pattern:
 
 
 def csv(
-    spark: SparkSession, path: str | Sequence[str], separator: str = ",", encoding: str = "UTF-8", multi_line: bool = True
+    spark: SparkSession, path: str | Sequence[str], separator: str = ",", encoding: str = "UTF-8", multi_line: bool = False
 ) -> DataFrame:
     """CSV with a header, every column as text, so leading zeros stay.
 
-    Quoted line breaks need ``multi_line``; files without them should turn it
-    off, which lets Spark split a large file.
+    Spark splits a large file.  Quoted line breaks need ``multi_line``, which makes
+    a file one task.
     """
     return spark.read.csv(
         path, sep=separator, encoding=encoding, header=True, inferSchema=False, multiLine=multi_line, escape='"'
@@ -144,12 +145,14 @@ def csv(
 
 
 def csv_files(
-    spark: SparkSession, paths: Sequence[str], separator: str = ";", encoding: str = LATIN, multi_line: bool = True
+    spark: SparkSession, paths: Sequence[str], separator: str = ";", encoding: str = LATIN, multi_line: bool = False,
+    missing: str = "error",
 ) -> DataFrame:
     """Several CSV files joined by column name, with file name and load date.
 
     Each file brings its own header, as column sets differ between years.  A
-    file that cannot be opened is left out; when none is left it is an error.
+    file that cannot be opened is an error; with ``missing="skip"`` it is left out with a
+    warning that names it, as long as another is left.
     The position columns give "first" and "last" row of a file a meaning.
     """
     frames = []
@@ -158,19 +161,28 @@ def csv_files(
             df = csv(spark, path, separator, encoding, multi_line)
             frames.append(df.select("*", F.col("_metadata.file_name").alias("fonte_arquivo"), *_position(_line_number())))
         except AnalysisException:
-            continue
+            if missing != "skip":
+                raise SourceMissing(f"CSV file could not be read: {path}") from None
+            warnings.warn(f"CSV file left out: {path}", stacklevel=2)
     if not frames:
         raise SourceMissing("no CSV file could be read")
     return stack_rows(frames).withColumn("created_at", F.current_date())
 
 
-def csv_or_default(spark: SparkSession, path: str | None, default: Callable[[], DataFrame]) -> DataFrame:
-    """The landed CSV, or literal rows when it was not landed."""
+def csv_or_default(
+    spark: SparkSession, path: str | None, default: Callable[[], DataFrame], missing: str = "error"
+) -> DataFrame:
+    """The landed CSV, or literal rows when no path is given.
+
+    A path that cannot be read is an error; with ``missing="skip"`` it gives the literal rows and a warning.
+    """
     if path:
         try:
             return csv(spark, path)
         except AnalysisException:
-            pass
+            if missing != "skip":
+                raise SourceMissing(f"CSV file could not be read: {path}") from None
+            warnings.warn(f"CSV file left out: {path}", stacklevel=2)
     return default()
 
 

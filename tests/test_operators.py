@@ -38,7 +38,7 @@ def test_standard_sk_and_natural_id(spark):
     df = spark.createDataFrame([(1, "a")], "sk int, nome string")
     assert shape.standard_sk(df, "ies").columns == ["ies_sk", "nome"]
     made = shape.with_natural_id(df, "id_posdoc", "posdoc")
-    assert len(made.first()["id_posdoc"]) == 64
+    assert len(made.first()["id_posdoc"]) == 32
 
 
 def test_latest_per_key_and_ties(spark, rows):

@@ -18,7 +18,7 @@ def write(path, text, encoding="utf-8"):
 def test_csv_files_union_by_name_with_position(spark, tmp_path, rows):
     a = write(tmp_path / "p-2021.csv", 'AN_BASE;NM;X\n2021;"João; ""Jr""\nSilva";1\n2021;b;2\n', "latin-1")
     b = write(tmp_path / "p-2022.csv", "X;AN_BASE;NOVA\n7;2022;é\n", "latin-1")
-    df = readers.csv_files(spark, [b, a, str(tmp_path / "absent.csv")])
+    df = readers.csv_files(spark, [b, a, str(tmp_path / "absent.csv")], multi_line=True, missing="skip")
     assert rows(df.select("AN_BASE", "NM", "X", "NOVA", "fonte_arquivo")) == sorted([
         ("2021", 'João; "Jr"\nSilva', "1", None, "p-2021.csv"), ("2021", "b", "2", None, "p-2021.csv"),
         ("2022", None, "7", "é", "p-2022.csv"),
@@ -26,7 +26,9 @@ def test_csv_files_union_by_name_with_position(spark, tmp_path, rows):
     first = df.filter("_arquivo = 'p-2021.csv'").orderBy("_bloco", "_linha").first()
     assert first["X"] == "1"
     with pytest.raises(readers.SourceMissing):
-        readers.csv_files(spark, [str(tmp_path / "absent.csv")])
+        readers.csv_files(spark, [str(tmp_path / "absent.csv")], missing="skip")
+    with pytest.raises(readers.SourceMissing, match="absent"):
+        readers.csv_files(spark, [a, str(tmp_path / "absent.csv")])
 
 
 def test_csv_keeps_leading_zeros(spark, tmp_path):
@@ -35,7 +37,9 @@ def test_csv_keeps_leading_zeros(spark, tmp_path):
 
 
 def test_csv_or_default(spark, tmp_path):
-    assert readers.csv_or_default(spark, str(tmp_path / "no.csv"), lambda: readers.states(spark)).count() == 27
+    assert readers.csv_or_default(spark, str(tmp_path / "no.csv"), lambda: readers.states(spark), missing="skip").count() == 27
+    with pytest.raises(readers.SourceMissing):
+        readers.csv_or_default(spark, str(tmp_path / "no.csv"), lambda: readers.states(spark))
 
 
 def test_yearly_parquet(spark, tmp_path, rows):
