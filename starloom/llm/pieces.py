@@ -26,7 +26,7 @@ from starloom.llm.batches import append_columns, append_steps
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
 ENCODED = "ids array<int>"
 DECODED = "decoded string"
@@ -177,7 +177,7 @@ def _decoding(model):
         coder = _shared(model)
 
         def compute(piece):
-            rows = [None if x is None else coder.decode(x) for x in piece.column("ids").to_pylist()]
+            rows = [None if x is None else coder.decode(x.tolist()) for x in _id_rows(piece.column("ids"))]
             return {"decoded": pa.array(rows, pa.string())}
 
         return compute
@@ -185,12 +185,19 @@ def _decoding(model):
     return make, DECODED
 
 
+def _id_rows(column: pa.Array) -> Iterator[np.ndarray | None]:
+    """The ids of each row as an array, without a Python number for each."""
+    values, first = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    for valid, a, b in zip(column.is_valid().to_pylist(), first[:-1], first[1:]):
+        yield values[a:b] if valid else None
+
+
 def _digesting():
     def compute(piece):
-        lists = piece.column("ids").to_pylist()
+        rows = [np.zeros(0, "<i4") if x is None else x.astype("<i4") for x in _id_rows(piece.column("ids"))]
         return {
-            "n_pieces": pa.array([len(x or []) for x in lists], pa.int64()),
-            "ids_sha256": pa.array([hashlib.sha256(",".join(map(str, x or [])).encode()).hexdigest() for x in lists], pa.string()),
+            "n_pieces": pa.array([len(x) for x in rows], pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in rows], pa.string()),
         }
 
     return compute
@@ -222,7 +229,7 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
 
 
 def digest(encoded: DataFrame) -> DataFrame:
-    """``encoded`` with ``n_pieces`` and ``ids_sha256``, the digest of the ids joined by commas (null ids: as none)."""
+    """``encoded`` with ``n_pieces`` and ``ids_sha256``, the digest of the ids as little-endian 32-bit numbers (null ids: as none)."""
     return append_columns(encoded, lambda: _digesting(), DIGESTED, text=None)
 
 
