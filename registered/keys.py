@@ -75,9 +75,9 @@ def unknown_member_union(spark, folder):
 
 
 def part_bridge(spark, folder):
-    """Automatic associations of part names with the fixed targets."""
+    """Automatic associations of the words of part names with the fixed targets."""
     parts = load(spark, folder, "part").select(
-        F.col("p_partkey").alias("tema_sk"), F.substring_index("p_name", " ", 1).alias("word"), "p_size"
+        F.col("p_partkey").alias("tema_sk"), F.explode(F.array_distinct(F.split("p_name", " "))).alias("word"), "p_size"
     )
     pairs = match_fixed_targets(parts, "word", TARGETS)
     return pairs.select(
@@ -88,7 +88,7 @@ def part_bridge(spark, folder):
 
 BRIDGE_SQL = f"""
     targets(ods_sk, a, b) AS (VALUES {TARGETS_SQL}),
-    words AS (SELECT p_partkey AS tema_sk, lower(split_part(p_name, ' ', 1)) AS word, p_size FROM part),
+    words AS (SELECT p_partkey AS tema_sk, lower(unnest(list_distinct(string_split(p_name, ' ')))) AS word, p_size FROM part),
     bridge AS (
         SELECT tema_sk, ods_sk, 'Automática' AS tipo_associacao,
                CAST(CASE WHEN contains(a, word) THEN 80 ELSE 60 END AS DOUBLE) AS nivel_confianca,

@@ -78,10 +78,10 @@ def lookup_sk_fallback(
 ) -> DataFrame:
     """Try the lookup columns in order, use the first that hits at all; none gives 0.
 
-    Whether a column hits is a semi-join that stops at its first match, so the
-    usual case (the first column fits) reads little; the fact is then joined
-    once.  ``probe`` is a cheaper frame with the same keys to look at, such as
-    the fact before earlier joins.
+    Which columns hit is one pass over the distinct keys, with a flag for each
+    column; the fact is then joined once.  A single column needs no look.
+    ``probe`` is a cheaper frame with the same keys to look at, such as the
+    fact before earlier joins.
     """
     target = target or sk
     zero = fact.withColumn(target, F.lit(0))
@@ -89,15 +89,23 @@ def lookup_sk_fallback(
         return zero
     key = identifier_of(fact, fact_key)
     candidates = present(dim, dim_keys)
-    for name in candidates:
-        table = key_table(dim, name, sk)
-        if name == candidates[-1]:
-            return attach_key(fact, table, key, target)
-        looked_at = fact if probe is None else probe
-        hits = looked_at.select(key.alias("_key")).join(table, "_key", "left_semi")
-        if not hits.isEmpty():
-            return attach_key(fact, table, key, target)
-    return zero
+    if not candidates:
+        return zero
+    name = candidates[0] if len(candidates) == 1 else _first_hit(
+        (fact if probe is None else probe).select(key.alias("_key")), dim, candidates, sk
+    )
+    return zero if name is None else attach_key(fact, key_table(dim, name, sk), key, target)
+
+
+def _first_hit(keys: DataFrame, dim: DataFrame, candidates: Sequence[str], sk: str) -> str | None:
+    """The first of ``candidates`` that holds any key of ``keys`` (``_key``)."""
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("rank"), identifier_of(dim, name).alias("_key")) for i, name in enumerate(candidates)
+    ])
+    searched = dim.filter(F.col(sk) > 0).select(F.explode(pairs).alias("_pair")).select("_pair.rank", "_pair._key")
+    held = searched.filter(F.col("_key").isNotNull()).groupBy("_key").agg(F.min("rank").alias("rank"))
+    best = keys.filter(F.col("_key").isNotNull()).distinct().join(held, "_key").agg(F.min("rank")).first()[0]
+    return None if best is None else candidates[best]
 
 
 def priority_key_table(dim: DataFrame, keys: Sequence[str], sk: str, clean) -> DataFrame:

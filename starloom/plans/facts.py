@@ -18,8 +18,8 @@ from starloom.operators.shape import (
 )
 from starloom.schemas import conform
 
-# a state is split into this many parts on the theme side when pairs are formed
-PAIR_PARTS = 64
+# themes of a state that meet its institutions in one part when pairs are formed
+PART_THEMES = 4096
 
 
 def _with_row_id(fact: DataFrame, name: str, how: str | None) -> DataFrame:
@@ -36,6 +36,13 @@ def year_keys(dim_tempo: DataFrame) -> DataFrame:
     return dim_tempo.filter("tempo_sk > 0").groupBy("ano").agg(F.max("tempo_sk").alias("tempo_sk"))
 
 
+def year_key(dim_tempo: DataFrame, year: Column) -> Column:
+    """Q2 without a join: the few years of a calendar are one map, a year that it lacks gives 0."""
+    years = year_keys(dim_tempo.filter("ano IS NOT NULL"))
+    keys = years.agg(F.map_from_entries(F.collect_list(F.struct("ano", "tempo_sk"))).alias("keys")).scalar()
+    return F.coalesce(keys[year], F.lit(0))
+
+
 # Role column of an authorship row, dimension, key.
 AUTHOR_ROLES = {
     "docente": "ID_PESSOA_DOCENTE",
@@ -56,7 +63,7 @@ def fact_producao(authors: DataFrame, dims: Mapping[str, DataFrame]) -> DataFram
         F.col("NR_ORDEM").alias("ordem_autor"),
         *[text.id_text(authors, column).alias(column) for column in AUTHOR_ROLES.values()],
     )
-    fact = lookup_sk(fact, dims["tempo"], F.col("ano_base"), F.col("ano"), "tempo_sk", clean=None)
+    fact = fact.withColumn("tempo_sk", year_key(dims["tempo"], F.col("ano_base")))
     for dimension, column in AUTHOR_ROLES.items():
         sk = f"{dimension}_sk"
         if dimension in dims:
@@ -117,7 +124,7 @@ def fact_producao_tema(
     fact = source
     if dims.get("tempo") is not None:
         year = numbers.whole_number(source, "ano_base").cast("int")
-        fact = lookup_sk(fact, dims["tempo"], year, F.col("ano"), "tempo_sk", clean=None)
+        fact = fact.withColumn("tempo_sk", year_key(dims["tempo"], year))
     for dimension, (candidates, searched) in AUTHORSHIP_LOOKUPS.items():
         sk = f"{dimension}_sk"
         dim = dims.get(dimension)
@@ -218,8 +225,8 @@ def fact_temas(
     """Presence of a theme at each institution of its state.
 
     The pairs are the rows of this fact.  Both sides are cut to distinct keys
-    first, and a state is spread over many tasks, so that the largest one does
-    not form all its pairs in a single task.
+    first, and a state is split by its number of themes, so that the largest one
+    does not form all its pairs in a single task.
     """
     listed = raw_tema.select("tema_id", "tema_nome", state_code("uf").alias("_uf")).distinct()
     named = dim_tema.filter("tema_sk > 0").select("tema_sk", "tema_id", "tema_nome")
@@ -228,11 +235,12 @@ def fact_temas(
         F.min("localidade_sk").alias("localidade_sk")
     )
     members = dim_ies.filter("ies_sk > 0").select("ies_sk", F.col("sg_uf").alias("_uf")).join(places, "_uf")
-    parts = F.pmod(F.xxhash64("tema_sk"), F.lit(PAIR_PARTS)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(PAIR_PARTS - 1)))
+    sizes = themes.groupBy("_uf").agg(F.ceil(F.count("*") / PART_THEMES).cast("int").alias("_parts"))
+    part = F.pmod(F.xxhash64("tema_sk"), F.col("_parts")).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
     day = dim_tempo.filter(F.col("ano") == year).agg(F.min("tempo_sk").alias("tempo_sk"))
-    pairs = themes.withColumn("_part", parts).join(
-        members.withColumn("_part", copies), ["_uf", "_part"]
+    pairs = themes.join(sizes, "_uf").withColumn("_part", part).join(
+        members.join(sizes, "_uf").withColumn("_part", copies), ["_uf", "_part"]
     )
     # the key of the year is one value: a scalar subquery, no join
     presence = {c: F.lit(1) for c in ("presente_na_uf", "presente_na_categoria", "presente_na_ies", "presente_na_regiao")}

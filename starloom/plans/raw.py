@@ -17,6 +17,7 @@ from starloom.operators.shape import (
     apply_types, blanks_to_null, drop_empty, feed_name, find_like, first_present, leading, present, rename_all,
     select_renamed, snake_name, stack_rows, with_lineage,
 )
+from starloom.session import stored
 
 # Number and upper-case columns and leading columns of the professor files.
 PROFESSOR_NUMBERS = [
@@ -149,11 +150,17 @@ def raw_tema(sheet: DataFrame, source: str = "temas.csv") -> DataFrame:
         F.upper(text(state)).alias("uf"),
         F.explode(split_terms(cell)).alias("palavrachave_nome"),
     )
-    rows = factorized(rows, "macrotema_id", ["macrotema_nome"])
-    rows = factorized(rows, "tema_id", ["macrotema_nome", "tema_nome"])
-    rows = factorized(rows, "palavrachave_id", ["palavrachave_nome"])
+    # the sheet is exploded once; ids are given to the distinct names, and the rows meet them in one join
+    rows = stored(rows)
+    names = ["macrotema_nome", "tema_nome", "palavrachave_nome"]
+    ids = stored(rows.select(*names).distinct())
+    ids = factorized(ids, "macrotema_id", ["macrotema_nome"])
+    ids = factorized(ids, "tema_id", ["macrotema_nome", "tema_nome"])
+    ids = factorized(ids, "palavrachave_id", ["palavrachave_nome"])
+    ids = ids.withColumnsRenamed({c: f"_{c}" for c in names})
+    same = [rows[c].eqNullSafe(ids[f"_{c}"]) for c in names]
     return with_lineage(
-        rows.select(
+        rows.join(ids, same).select(
             "macrotema_id", "macrotema_nome", "tema_id", "tema_nome", "palavrachave_id", "palavrachave_nome", "uf"
         ),
         source,
