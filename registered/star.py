@@ -97,10 +97,10 @@ ROLES_STAR_SQL = f"""
     acronym_keys AS (SELECT upper(sg) AS acronym, max(ies_sk) AS ies_sk FROM institutions WHERE sg IS NOT NULL GROUP BY 1),
     plain_roles AS (
         SELECT DISTINCT producao_id, tempo_sk, coalesce(w.tema_sk, 0) AS tema_sk, coalesce(p.ppg_sk, 0) AS ppg_sk, coalesce(i.ies_sk, 0) AS ies_sk,
-               docente_sk, discente_sk, titulado_sk, posdoc_sk, n AS ordem_autor, roles.ano AS ano_base
+               docente_sk, discente_sk, titulado_sk, posdoc_sk, roles.n AS ordem_autor, roles.ano AS ano_base
         FROM roles JOIN part ON l_partkey = p_partkey
-        LEFT JOIN word_keys w ON n <> 7 AND upper(p_name) = w.word
-        LEFT JOIN programmes p ON n < 6 AND p_brand || '-' || p_type = p.codigo
+        LEFT JOIN word_keys w ON roles.n <> 7 AND upper(p_name) = w.word
+        LEFT JOIN programmes p ON roles.n < 6 AND p_brand || '-' || p_type = p.codigo
         LEFT JOIN acronym_keys i ON 'S' || l_suppkey = i.acronym
     ),
     star_roles AS (
