@@ -1,6 +1,6 @@
 """N-gram Jaccard join (operator 7): adaptive prefixes with several required matches.
 
-Texts become sets of 4-word shingles.  Equal sets are one class from the start, so
+Texts become sets of word shingles; a :class:`Rule` says how many words and how similar.  Equal sets are one class from the start, so
 exact copies cost nothing later.  A set of n shingles that reaches the threshold
 with another shares at least a = ceil(t * n) of them; so under any common order of
 shingles, the first n - a + l of one set and of the other have l in common.  Each
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,6 @@ from starloom.llm.batches import Scratch, importable, map_rows
 from starloom.llm.components import components
 from starloom.llm.words import BLANK_SEPARATED, distinct_shingles, mix, words_of
 
-K = 4
-PERCENT = 85
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 DENSE = 48
 BLOCK_DOCS = 192
@@ -47,11 +46,22 @@ _ELSEWHERE = 0.05  # other holders that a shingle is expected to have when it is
 _MATCH_COST, _VERIFY_COST = 0.5, 0.8
 
 
-def _sets(piece: pa.RecordBatch) -> list[np.ndarray]:
-    return distinct_shingles(words_of(piece.column("text"), BLANK_SEPARATED), K)
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and the least similarity of linked sets in percent."""
 
+    words: int = 5
+    percent: int = 80
 
-def _frequent(docs: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    def sets(self, piece: pa.RecordBatch) -> list[np.ndarray]:
+        return distinct_shingles(words_of(piece.column("text"), BLANK_SEPARATED), self.words)
+
+    def needed(self, n: np.ndarray | int):
+        """Shingles that a set of n has in common with any set it links with, at least."""
+        return (self.percent * n + 99) // 100
+
+
+def _frequent(docs: DataFrame, scratch: Scratch, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles of all documents, sorted, and about how many documents hold each.
 
     A task counts the shingles of blocks of ``COUNT_BLOCK`` and reports those it met twice.
@@ -73,7 +83,7 @@ def _frequent(docs: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray
         def compute(piece):
             nonlocal size
             if piece is not None:
-                for values in _sets(piece):
+                for values in rule.sets(piece):
                     held.append(values)
                     size += len(values)
             if size and (piece is None or size >= COUNT_BLOCK):
@@ -93,13 +103,11 @@ def _frequent(docs: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray
     return shingles[order], often.column("n").to_numpy()[order].astype(np.float32)
 
 
-def _needed(n: np.ndarray | int):
-    return (PERCENT * n + 99) // 100
+def _choose(others: np.ndarray, n: int, base: int) -> int:
+    """The number of matches to ask for; ``others``: holders expected of each shingle in prefix order.
 
-
-def _choose(others: np.ndarray, n: int) -> int:
-    """The number of matches to ask for; ``others``: holders expected of each shingle in prefix order."""
-    base = n - int(_needed(n))
+    A prefix of ``base`` shingles more than the matches is long enough.
+    """
     best, least = 1, np.inf
     for matches in (m for m in MATCHES if m <= n - base):
         rows = float(others[: base + matches].sum())
@@ -109,9 +117,9 @@ def _choose(others: np.ndarray, n: int) -> int:
     return best
 
 
-def _prefixes(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def _prefixes(docs: DataFrame, scratch: Scratch, rule: Rule) -> DataFrame:
     """Per document: set size, signature of the set, matches asked for, prefix shingles in order."""
-    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, scratch))
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, scratch, rule))
 
     def make():
         often, counts = frequent.value
@@ -120,7 +128,7 @@ def _prefixes(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
         def compute(piece):
             n_all, sigs, matches, prefixes = [], [], [], []
-            for values in _sets(piece):
+            for values in rule.sets(piece):
                 n = len(values)
                 n_all.append(n)
                 with np.errstate(over="ignore"):
@@ -135,9 +143,10 @@ def _prefixes(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 near = np.searchsorted(often, values)
                 held = np.where(often[near] == values, counts[near], 0)
                 order = np.argsort(np.log2(1 + held).astype(np.int8), kind="stable")
-                want = _choose(np.maximum(held[order], _ELSEWHERE), n)
+                base = n - int(rule.needed(n))
+                want = _choose(np.maximum(held[order], _ELSEWHERE), n, base)
                 matches.append(want)
-                prefixes.append(values[order[: n - int(_needed(n)) + want]].view(np.int64))
+                prefixes.append(values[order[: base + want]].view(np.int64))
             first = np.zeros(len(prefixes) + 1, np.int32)
             np.cumsum([len(p) for p in prefixes], out=first[1:])
             yield {
@@ -152,7 +161,7 @@ def _prefixes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return map_rows(rows, make, "doc_id long, n long, sig binary, matches int, prefix array<long>")
 
 
-def _shingle_table(docs: DataFrame, needed: DataFrame) -> DataFrame:
+def _shingle_table(docs: DataFrame, needed: DataFrame, rule: Rule) -> DataFrame:
     """(node, shingles) of the documents in ``needed`` and of few others: a Bloom filter spares most texts."""
     bits, probes = bloom.shape(needed.count(), 0.01)
     words = docs.sparkSession.sparkContext.broadcast(bloom.build(needed.select(*bloom.hashes("node")), bits, probes))
@@ -163,7 +172,7 @@ def _shingle_table(docs: DataFrame, needed: DataFrame) -> DataFrame:
             piece = piece.filter(pa.array(bloom.probe(words.value, probes, h1, h2)))
             if piece.num_rows == 0:
                 return
-            sets = _sets(piece)
+            sets = rule.sets(piece)
             first = np.zeros(len(sets) + 1, np.int32)
             np.cumsum([len(s) for s in sets], out=first[1:])
             yield {
@@ -177,7 +186,7 @@ def _shingle_table(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return map_rows(rows, make, "node long, shingles array<long>")
 
 
-def _links_in(nodes: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+def _links_in(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
     """(i, root) of a spanning forest of the links among ``sets``."""
     sizes = np.array([len(s) for s in sets], np.int64)
     values, where = np.unique(np.concatenate(sets), return_inverse=True)
@@ -196,7 +205,7 @@ def _links_in(nodes: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
         part[owner[i:j], col[i:j] - a] = 1
         both += part @ part.T
     inter = both.astype(np.int64)
-    linked = 100 * inter >= PERCENT * (sizes[:, None] + sizes[None, :] - inter)
+    linked = 100 * inter >= percent * (sizes[:, None] + sizes[None, :] - inter)
     np.fill_diagonal(linked, True)
     label = np.arange(len(sets))
     while True:
@@ -208,14 +217,14 @@ def _links_in(nodes: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     return np.stack([nodes[moved], nodes[label[moved]]], axis=1)
 
 
-def _verified(blocks: DataFrame) -> DataFrame:
+def _verified(blocks: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) within each group (bucket, i, j) of (node, shingles)."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, nodes, sets = None, [], []
 
         def result():
-            pairs = _links_in(np.array(nodes), sets)
+            pairs = _links_in(np.array(nodes), sets, percent)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["u", "v"])
 
         for batch in batches:
@@ -237,13 +246,13 @@ def _verified(blocks: DataFrame) -> DataFrame:
     return dealt.select("bucket", "i", "j", "node", "shingles").mapInArrow(links, "u long, v long")
 
 
-def _spread(members: DataFrame) -> DataFrame:
+def _spread(members: DataFrame, percent: int) -> DataFrame:
     """(bucket, i, j, node): members of a bucket that may link by their sizes meet in some pair of blocks.
 
     Sizes are put in levels so that linked sets are at most one level apart; group k of a
     bucket has the levels k - 1 and k, and is left out if it has none of level k.
     """
-    level = F.floor(F.log("n") / -math.log((PERCENT - 1) / 100)).cast("int")
+    level = F.floor(F.log("n") / -math.log((percent - 1) / 100)).cast("int")
     leveled = members.select("bucket", "node", level.alias("level")).select(
         "bucket", "node", "level", F.explode(F.array("level", F.col("level") + 1)).alias("k")
     )
@@ -259,7 +268,7 @@ def _spread(members: DataFrame) -> DataFrame:
     ).select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
 
 
-def _members(classes: DataFrame, scratch: Scratch) -> DataFrame:
+def _members(classes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """(bucket, node, n): any two classes that may link share a bucket.
 
     ``meta`` packs set size, position in the prefix and matches asked for, to keep the sorted rows narrow.
@@ -270,7 +279,7 @@ def _members(classes: DataFrame, scratch: Scratch) -> DataFrame:
     counted = rows.withColumn("df", F.count("*").over(Window.partitionBy("shingle"))).where("df > 1")
     n, at, matches = F.expr("shiftright(meta, 32)"), F.expr("shiftright(meta & 4294967295L, 7)"), F.expr("meta & 127L")
     # the least number of matches whose prefix holds this shingle
-    level = F.greatest(F.lit(1), at + 1 - (n - F.floor((PERCENT * n + 99) / 100)))
+    level = F.greatest(F.lit(1), at + 1 - (n - F.floor((percent * n + 99) / 100)))
     counted = scratch.keep(counted.select(
         "shingle", "node", n.alias("n"), at.alias("at"), matches.alias("matches"), level.alias("level"), "df"
     ))
@@ -281,7 +290,7 @@ def _members(classes: DataFrame, scratch: Scratch) -> DataFrame:
         x.join(
             y,
             (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node"))
-            & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
+            & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
             & (F.greatest("x.level", "y.level") <= want),
         )
         .groupBy(F.col("x.node").alias("x"), F.col("y.node").alias("y"))
@@ -308,28 +317,28 @@ def _members(classes: DataFrame, scratch: Scratch) -> DataFrame:
     return near.union(dense).select(F.xxhash64("bucket").alias("bucket"), "node", "n").distinct()
 
 
-def _links(docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    members = scratch.keep(_members(classes, scratch))
-    spread = scratch.keep(_spread(members))
-    sets = _shingle_table(docs, spread.select("node").distinct())
-    return _verified(spread.join(sets, "node"))
+def _links(docs: DataFrame, classes: DataFrame, scratch: Scratch, rule: Rule) -> DataFrame:
+    members = scratch.keep(_members(classes, scratch, rule.percent))
+    spread = scratch.keep(_spread(members, rule.percent))
+    sets = _shingle_table(docs, spread.select("node").distinct(), rule)
+    return _verified(spread.join(sets, "node"), rule.percent)
 
 
-def near_duplicate_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, scratch: Scratch, rule: Rule = Rule()) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (``doc_id``, ``text``).
 
-    Texts link when the Jaccard similarity of their shingle sets is at least 85 %.  Texts of
-    fewer than four words are one shingle; null, empty and blank texts have none and link with
+    Texts link when the Jaccard similarity of their shingle sets is at least what ``rule`` says.  Texts of
+    fewer words than a shingle are one shingle; null, empty and blank texts have none and link with
     nothing (their component is their own id).  Rows of one id count as one document of the
     links; a row whose id is null takes no part and gets a null component.  No rows give no rows.
     """
     known = docs.where("doc_id IS NOT NULL")
-    prefixes = scratch.keep(_prefixes(known, scratch))
+    prefixes = scratch.keep(_prefixes(known, scratch, rule))
     filled = prefixes.where("n > 0").groupBy("sig", "n")
     classes = filled.agg(
         F.min("doc_id").alias("node"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix")
     )
-    parts = components(_links(known, classes, scratch), scratch)
+    parts = components(_links(known, classes, scratch, rule), scratch)
     roots = filled.agg(F.min("doc_id").alias("node")).join(
         parts.select(F.col("u").alias("node"), "v"), "node", "left"
     ).select("sig", "n", F.coalesce("v", "node").alias("root"))
@@ -338,27 +347,30 @@ def near_duplicate_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return members.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id")
     ).unionByName(
-        map_rows(unknown, _count_only, "doc_id long, n_shingles long, component_id long")
+        map_rows(unknown, _count_only(rule), "doc_id long, n_shingles long, component_id long")
     )
 
 
-def _count_only():
-    def compute(piece):
-        n = piece.num_rows
-        yield {
-            "doc_id": pa.nulls(n, pa.int64()), "n_shingles": pa.array([len(s) for s in _sets(piece)], pa.int64()),
-            "component_id": pa.nulls(n, pa.int64()),
-        }
+def _count_only(rule: Rule):
+    def make():
+        def compute(piece):
+            n = piece.num_rows
+            yield {
+                "doc_id": pa.nulls(n, pa.int64()), "n_shingles": pa.array([len(s) for s in rule.sets(piece)], pa.int64()),
+                "component_id": pa.nulls(n, pa.int64()),
+            }
+
+        return compute
 
-    return compute
+    return make
 
 
-def one_of_each_group(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def one_of_each_group(docs: DataFrame, scratch: Scratch, rule: Rule = Rule()) -> DataFrame:
     """``docs`` without near duplicates: of each group the row of the smallest id stays.
 
     Rows without an id all stay; of several rows with the same id one stays.
     """
-    groups = near_duplicate_groups(docs.select("doc_id", "text"), scratch)
+    groups = near_duplicate_groups(docs.select("doc_id", "text"), scratch, rule)
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     known = docs.where("doc_id IS NOT NULL").join(scratch.keep(kept), F.col("doc_id") == F.col("_kept"), "left_semi")
     return known.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))

@@ -57,9 +57,9 @@ FROM words d LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.x = d.doc_id GRO
 
 @_query(_JOIN_SQL)
 def op7_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    """Near-duplicate groups of all documents."""
+    """Groups of all documents by 4-word shingles, 85 % alike."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return ngram_join.near_duplicate_groups(docs, Scratch(spark))
+    return ngram_join.near_duplicate_groups(docs, Scratch(spark), ngram_join.Rule(words=4, percent=85))
 
 
 _DECONTAMINATION_SQL = rf"""

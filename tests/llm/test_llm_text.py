@@ -39,44 +39,49 @@ def none(docs):
     return docs.where("false")
 
 
-def shingles(text):
+RULES_OF_JOIN = [ngram_join.Rule(), ngram_join.Rule(words=4, percent=85)]
+
+
+def shingles(text, k):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
-    return {tuple(w[i : i + 4]) for i in range(max(len(w) - 3, 1))} if w else set()
+    return {tuple(w[i : i + k]) for i in range(max(len(w) - k + 1, 1))} if w else set()
 
 
-def groups(texts):
-    sets = {i: shingles(t) for i, t in texts}
+def groups(texts, rule):
+    sets = {i: shingles(t, rule.words) for i, t in texts}
     root = {i: i for i in sets}
+    linked = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= rule.percent * len(sets[a] | sets[b])]
     for _ in sets:
-        for a in sets:
-            for b in sets:
-                both = len(sets[a] & sets[b])
-                if sets[a] and 100 * both >= 85 * len(sets[a] | sets[b]):
-                    root[a] = root[b] = min(root[a], root[b])
+        before = dict(root)
+        for a, b in linked:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
     return {i: (len(sets[i]), root[i]) for i in sets}
 
 
-def test_join_groups(spark, docs):
-    found = {tuple(r) for r in ngram_join.near_duplicate_groups(docs, Scratch(spark)).collect()}
-    wanted = {(i, *v) for i, v in groups(list(enumerate(TEXTS))).items()}
+@pytest.mark.parametrize("rule", RULES_OF_JOIN)
+def test_join_groups(spark, docs, rule):
+    found = {tuple(r) for r in ngram_join.near_duplicate_groups(docs, Scratch(spark), rule).collect()}
+    wanted = {(i, *v) for i, v in groups(list(enumerate(TEXTS)), rule).items()}
     assert {r for r in found if r[0] is not None} == wanted
-    assert {r for r in found if r[0] is None} == {(None, 57, None), (None, 0, None)}
+    assert {r for r in found if r[0] is None} == {(None, 61 - rule.words, None), (None, 0, None)}
 
 
-@pytest.mark.parametrize("dense, block", [(48, 192), (2, 3)])
-def test_join_of_a_large_group(spark, monkeypatch, dense, block):
+@pytest.mark.parametrize("dense, block, rule", [(48, 192, RULES_OF_JOIN[0]), (2, 3, RULES_OF_JOIN[0]), (2, 3, RULES_OF_JOIN[1])])
+def test_join_of_a_large_group(spark, monkeypatch, dense, block, rule):
     monkeypatch.setattr(ngram_join, "DENSE", dense)
     monkeypatch.setattr(ngram_join, "BLOCK_DOCS", block)
     texts = [(i, variant(i % 60).replace(f"a{(i * 7) % 60} ", "")) for i in range(140)]
     texts += [(200 + i, f"p{i} q{i} r{i} s{i} " + " ".join(f"a{j}" for j in range(10, 30 + i))) for i in range(30)]
     frame = spark.createDataFrame(texts, "doc_id long, text string")
-    found = {r[0]: (r[1], r[2]) for r in ngram_join.near_duplicate_groups(frame, Scratch(spark)).collect()}
-    assert found == groups(texts)
+    found = {r[0]: (r[1], r[2]) for r in ngram_join.near_duplicate_groups(frame, Scratch(spark), rule).collect()}
+    assert found == groups(texts, rule)
 
 
 def test_one_of_each_group(spark, docs):
     kept = ngram_join.one_of_each_group(docs, Scratch(spark))
-    wanted = {r for i, (_, r) in groups(list(enumerate(TEXTS))).items()}
+    wanted = {r for i, (_, r) in groups(list(enumerate(TEXTS)), ngram_join.Rule()).items()}
     ids = [r["doc_id"] for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == sorted(wanted)
     assert ids.count(None) == 2 and kept.columns == docs.columns
