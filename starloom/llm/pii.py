@@ -2,9 +2,13 @@
 
 Base rules find e-mail addresses, IP addresses, card and phone numbers.  High-recall generators propose
 further spans, which may overlap: anything around an ``@``, long runs of digits with any separators, long
-tokens.  Boosted trees score each candidate by features of its format and context.  They learn which
-candidates are confirmed by a base rule; calibrated thresholds, one for each generator and taken on the
-held-out fold, decide which of the rest are redacted as well.  Base spans always stay.
+tokens.  Each generator labels its own candidates (``_label``): some are confirmed, by a base rule or, for
+tokens, by a word such as ``key`` right before; some are refuted, as a word, a date or a failed check sum is;
+the rest is undecided.  Boosted trees score each candidate by features of its format and context, without those
+that decide whether it is confirmed (``HIDDEN``), so an undecided candidate can score as high as a confirmed
+one.  They take undecided candidates as unlabelled.  Thresholds, one for each generator and taken on the
+held-out fold, decide which are redacted beside the base spans: above them confirmed candidates are
+``PRECISION`` of the decided ones and at least as many as the undecided.  Base spans always stay.
 
 Features are small integers, so all candidates of the corpus shrink to one count for each combination
 of features: a partial aggregate with few rows, of which the trees are grown.  Scoring is a
@@ -37,7 +41,13 @@ PATTERNS = {
 #: What a text must hold for a pattern to be tried.
 NEEDS = {"email": "@", "mail": "@", "phone": r"\+[0-9]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "number": "[0-9]", "token": None}
 CONTEXT = r"(?i)(?:mail|tel|phone|call|card|addr|host|token|key|secret|passw)"
-FEATURES = ("gen", "digits", "letters", "seps", "plus", "dots", "at", "luhn", "parts", "context", "before", "after")
+#: What confirms a token: a word for a secret right before it.
+NAMED = r"(?i)(?:token|key|secret|passw[a-z]*|pwd|bearer|auth)[\x22'\s]*[:=]?[\s\x22']*$"
+DATE = r"^\(?(?:(?:19|20)[0-9]{2}([-/. ]?)[01]?[0-9]\1[0-3]?[0-9]|[0-3]?[0-9]([-/. ])[0-3]?[0-9]\2(?:19|20)[0-9]{2})(?![0-9])"
+FEATURES = ("gen", "digits", "letters", "seps", "plus", "dots", "at", "luhn", "parts", "context", "before", "after", "turns")
+#: Features that decide a label, kept from the trees.
+HIDDEN = {"mail": ("at",), "number": ("plus", "luhn"), "token": ("context",)}
+CONFIRMED, REFUTED, UNDECIDED = 1, 0, 2
 ROUNDS, RATE = 24, 0.4
 PRECISION = 0.995
 RESULT = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
@@ -113,18 +123,44 @@ def _side(c: Column) -> Column:
     return F.when((c == "") | c.rlike(r"^\s"), 0).when(c.rlike("^[0-9]"), 1).when(c.rlike(r"^\p{L}"), 2).otherwise(3)
 
 
+def _before(text: Column, x: Column) -> Column:
+    return F.substring(text, F.greatest(x["s"] - 19, F.lit(1)), F.least(x["s"], F.lit(20)))
+
+
+def _turns(m: Column) -> Column:
+    """How often letters and digits take turns: many times in a secret, hardly in words, dates and numbers."""
+    return F.size(F.regexp_extract_all(m, F.lit(r"(?<=[A-Za-z])[0-9]|(?<=[0-9])[A-Za-z]"), F.lit(0)))
+
+
+def _label(text: Column, name: str, x: Column, hit: Column) -> Column:
+    """Whether a candidate is confirmed, refuted or undecided; ``hit`` is whether it meets a base span."""
+    m = x["m"]
+    if name == "token":
+        confirmed, refuted = _before(text, x).rlike(NAMED), _turns(m) < 4
+        return F.when(refuted, REFUTED).when(confirmed, CONFIRMED).otherwise(UNDECIDED)
+    if name == "mail":
+        refuted = ~m.rlike(r"[\p{L}\p{N}]@[\p{L}\p{N}][^@]*\.\p{L}")
+    else:
+        n = F.length(_digits(m))
+        around = F.substring(text, x["s"], F.when(x["s"] > 0, 1).otherwise(0)), F.substring(text, x["e"] + 1, F.lit(1))
+        refuted = around[0].rlike(r"[\p{L}_]") | around[1].rlike(r"[\p{L}_]") | m.rlike(DATE) | (n > 19) | ((n >= 12) & ~_luhn(_digits(m)))
+    return F.when(hit, CONFIRMED).when(refuted, REFUTED).otherwise(UNDECIDED)
+
+
 def _features(text: Column, name: str, x: Column) -> list[Column]:
     m, d = x["m"], _digits(x["m"])
-    before = F.substring(text, F.greatest(x["s"] - 19, F.lit(1)), F.least(x["s"], F.lit(20)))
+    before = _before(text, x)
+    marks = r"[\p{L}0-9+]" if "plus" in HIDDEN[name] else r"[\p{L}0-9]"
     values = {
         "gen": F.lit(GENERATORS.index(name)), "digits": _bin(F.length(d), 1, 7, 9, 12, 16, 17, 20),
         "letters": _bin(F.length(F.regexp_replace(m, r"[^\p{L}]", "")), 1, 5, 16),
-        "seps": _bin(F.length(F.regexp_replace(m, r"[\p{L}0-9]", "")), 1, 3, 5), "plus": F.when(F.instr(m, "+") > 0, 1).otherwise(0),
+        "seps": _bin(F.length(F.regexp_replace(m, marks, "")), 1, 3, 5), "plus": F.when(F.instr(m, "+") > 0, 1).otherwise(0),
         "dots": F.least(F.length(F.regexp_replace(m, r"[^.]", "")), F.lit(4)), "at": F.when(m.rlike(r"[A-Za-z0-9]@[A-Za-z0-9-]+\.[A-Za-z0-9]"), 1).otherwise(0),
         "luhn": F.when(_luhn(d), 1).otherwise(0), "parts": F.when(m.rlike(_PARTS), 1).otherwise(0),
         "context": F.when(before.rlike(CONTEXT), 1).otherwise(0), "before": _side(F.substring(text, x["s"], F.when(x["s"] > 0, 1).otherwise(0))),
         "after": _side(F.substring(text, x["e"] + 1, F.lit(1))),
-    }
+        "turns": _bin(_turns(m), 1, 4, 8) if name == "token" else F.lit(0),
+    } | {f: F.lit(0) for f in HIDDEN[name]}
     return [values[f].cast("int").alias(f) for f in FEATURES]
 
 
@@ -138,8 +174,12 @@ def _of_kind(i: int):
 
 def _described(text: Column, name: str):
     def span(x: Column) -> Column:
-        hit = F.exists("_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-        return F.struct(x["s"].alias("s"), x["e"].alias("e"), hit.alias("hit"), *_features(text, name, x))
+        if name == "token":  # one that only holds a base span, as a secret can hold a card number, is more than it
+            hit = F.exists("_base", lambda b: (b["s"] <= x["s"]) & (x["e"] <= b["e"]))
+        else:
+            hit = F.exists("_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+        label = _label(text, name, x, hit)
+        return F.struct(x["s"].alias("s"), x["e"].alias("e"), hit.alias("hit"), label.alias("label"), *_features(text, name, x))
 
     return span
 
@@ -207,29 +247,29 @@ def _sigmoid(z: float) -> float:
 
 def train(found: DataFrame) -> Model:
     """Trees and thresholds from the candidates of all documents; see :func:`candidates`."""
-    each = found.select(held_out().alias("held"), F.explode("_cand").alias("c")).select("held", "c.hit", *[f"c.{f}" for f in FEATURES])
-    table = each.groupBy("held", "hit", *FEATURES).agg(F.count("*").alias("n")).collect()
-    counts: dict[tuple, list[float]] = defaultdict(lambda: [0, 0, 0, 0])  # misses and hits, in the fold and held out
+    each = found.select(held_out().alias("held"), F.explode("_cand").alias("c")).select("held", "c.label", *[f"c.{f}" for f in FEATURES])
+    table = each.groupBy("held", "label", *FEATURES).agg(F.count("*").alias("n")).collect()
+    counts: dict[tuple, list[float]] = defaultdict(lambda: [0] * 6)  # refuted, confirmed, undecided, in the fold and held out
     for r in sorted(table, key=tuple):
-        counts[tuple(r[f] for f in FEATURES)][2 * r["held"] + r["hit"]] += r["n"]
+        counts[tuple(r[f] for f in FEATURES)][3 * r["held"] + r["label"]] += r["n"]
     rows = [(dict(zip(FEATURES, key)), c) for key, c in sorted(counts.items())]
     scores, trees = [0.0] * len(rows), []
     for _ in range(ROUNDS if rows else 0):
         grown = []
         for (row, c), z in zip(rows, scores):
             p = _sigmoid(z)
-            n = c[0] + c[1]
-            grown.append((row, c[1] - n * p, max(n * p * (1 - p), 1e-9)))
+            n = c[REFUTED] + c[CONFIRMED] + c[UNDECIDED]
+            grown.append((row, c[CONFIRMED] - n * p, max(n * p * (1 - p), 1e-9)))
         trees.append(_grow(grown, 3))
         scores = [z + _value(trees[-1], row) for (row, _), z in zip(rows, scores)]
     thresholds = []
     for gen in range(len(GENERATORS)):
-        best, hits, misses = math.inf, 0, 0
-        own = sorted(((z, c[2], c[3]) for (row, c), z in zip(rows, scores) if row["gen"] == gen), reverse=True)
-        for i, (z, miss, hit) in enumerate(own):
-            hits, misses = hits + hit, misses + miss
+        best, hits, misses, unknown = math.inf, 0, 0, 0
+        own = sorted(((z, *c[3:]) for (row, c), z in zip(rows, scores) if row["gen"] == gen), reverse=True)
+        for i, (z, miss, hit, open_) in enumerate(own):
+            hits, misses, unknown = hits + hit, misses + miss, unknown + open_
             last = i + 1 == len(own) or own[i + 1][0] < z
-            if last and hits and hits >= PRECISION * (hits + misses):
+            if last and hits and hits >= PRECISION * (hits + misses) and unknown <= hits:
                 best = z
         thresholds.append(best)
     return Model(trees, thresholds)
@@ -252,9 +292,9 @@ def _chosen(model: Model, x: Column) -> Column:
 
 
 def _all_spans(found: DataFrame, model: Model) -> DataFrame:
-    """``found`` with ``_all``: base spans, and chosen candidates that touch none of them."""
+    """``found`` with ``_all``: base spans, and chosen candidates that none of them confirms or, for tokens, covers."""
     extra = F.transform(
-        F.filter("_cand", lambda x: ~x["hit"] & _chosen(model, x)),
+        F.filter("_cand", lambda x: ~x["hit"] & (x["label"] != REFUTED) & _chosen(model, x)),
         lambda x: F.struct(x["s"].alias("s"), (x["gen"] + len(KINDS)).alias("k"), x["e"].alias("e")),
     )
     return found.withColumn("_all", F.array_sort(F.concat("_base", extra)))

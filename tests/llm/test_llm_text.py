@@ -184,6 +184,24 @@ def test_possessive_patterns_equal_the_rules(text):
         assert [m.span() for m in re.finditer(twin, text)] == plain or kind == "ip"
 
 
+def test_personal_data_beyond_the_base_rules(spark):
+    secret = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(300)]
+    texts = [f'so token = "{x}". And a long donaudampfschifffahrt or a-slug-of-2024-words here' for x in secret[:200]]
+    texts += [f'so "{x}". And no more' for x in secret[200:220]] + [f"at +1 ({i}) 555-{7 * i + 1000} or 2669109448945250{i % 9 + 1} now" for i in range(210, 310)]
+    texts += ["at 1 (487) 555-7209 now", "at 2024-01-15 12 now", 'a key = "a1b2c3d4e5f64111111111111111aa1b2c3d4e5f"']
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii.find(frame).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(frame).collect()}
+    for i, text in enumerate(texts[:220]):  # whatever word stands before them
+        at = text.index(secret[i])
+        assert f"token:{at}:{at + 40}" in spans[i] and secret[i] not in clean[i], text
+        assert clean[i].endswith(text[at + 40 :]), clean[i]
+    assert spans[320] == "number:3:19" and spans[321] == ""
+    assert clean[322] == 'a key = "<TOKEN>"'  # a card number inside doesn't leave the rest
+    learned = pii.find(frame.where("doc_id < 220 AND text NOT LIKE '%token%'"))
+    assert not learned.where("spans LIKE '%token%'").count()  # nothing confirmed, nothing added
+
+
 def test_personal_data_of_nothing(none):
     assert pii.find(none.drop("n_words")).count() == 0
     assert pii.redact(none).columns == none.columns
