@@ -7,8 +7,9 @@ is the share of positives among labelled rows if both values occur, else the Elk
 from a first fit of positives against unlabelled.
 
 The model is a small network on dense features of the whole text.  It is fitted on at most about
-``FIT_ROWS`` documents chosen by a hash of their id; features are computed in tasks, and only they reach
-the driver.  Scoring reads every text whole and moves nothing.
+``LABEL_ROWS`` documents labelled 1, so on all of them while they are fewer, and about ``FIT_ROWS`` of
+the whole fold as unlabelled text, both chosen by a hash of their id.  The prior is counted from all labels of
+the fold.  Features are computed in tasks, and only they reach the driver.  Scoring reads every text whole and moves nothing.
 """
 
 from __future__ import annotations
@@ -18,12 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.batches import append_columns, held_out
 
+#: Bounds of the sample: of the whole fold, and of its documents labelled 1.
 FIT_ROWS = 40_000
+LABEL_ROWS = 40_000
 THRESHOLD = 0.3
 EPOCHS = 60
 HIDDEN = 24
@@ -144,15 +147,27 @@ def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(model.scores(unlabelled).mean() / max(top, 1e-6), 0.05, 0.95))
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model | None:
+def _share(rows: int, of: int) -> Column:
+    """Whether the hash of an id falls into a share of about ``rows`` of ``of``; all if they are fewer."""
+    if of <= rows:
+        return F.lit(True)
+    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(rows / of * (1 << 40))
+
+
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, label_rows: int = LABEL_ROWS) -> Model | None:
     """Model from the training fold of ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``quality``).
 
-    A document with several labels is positive if all are 1; null labels don't count.  Without
-    positives there is nothing to learn and the result is None.
+    A document with several labels is positive if all are 1; null labels don't count, nor labels without a
+    document.  Without positives there is nothing to learn and the result is None.
     """
     fold = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "text")
-    share = min(1.0, fit_rows / max(fold.count(), 1))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
+    marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out()).groupBy("doc_id").agg(
+        F.min("quality").alias("quality")
+    )
+    marked = fold.select("doc_id").join(marks.where("quality >= 0"), "doc_id")
+    known = {r["quality"]: r["count"] for r in marked.groupBy("quality").count().collect()}
+    if not known.get(1):
+        return None
 
     def make():
         def compute(piece):
@@ -161,23 +176,19 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
 
         return compute
 
-    marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & chosen & ~held_out()).groupBy("doc_id").agg(
-        F.min("quality").alias("quality")
-    )
-    rows = append_columns(fold.where(chosen), make, "features binary").select("doc_id", "features")
-    table = rows.join(marks, "doc_id", "left").select("features", "quality").toArrow()
-    if table.num_rows == 0:
-        return None
+    trusted = marked.where((F.col("quality") == 1) & _share(label_rows, known[1])).select("doc_id", F.lit(True).alias("trusted")).distinct()
+    chosen = fold.withColumn("drawn", _share(fit_rows, fold.count())).join(F.broadcast(trusted), "doc_id", "left")  # so texts stay in place
+    chosen = chosen.withColumn("trusted", F.coalesce("trusted", F.lit(False))).where("drawn OR trusted")
+    table = append_columns(chosen, make, "features binary").select("features", "drawn", "trusted").toArrow()
     x = np.frombuffer(b"".join(table.column("features").to_pylist()), np.float32).reshape(-1, _WIDTH).astype(np.float64)
-    quality = np.array([-1 if q is None else q for q in table.column("quality").to_pylist()])
-    order = np.lexsort([*x.T[:8], quality])  # so that the fit doesn't depend on the order of tasks
-    x, quality = x[order], quality[order]
-    positive = x[quality == 1]
-    if not len(positive):
+    drawn, trusted = (np.array(table.column(c).to_pylist(), bool) for c in ("drawn", "trusted"))
+    order = np.lexsort([*x.T[:8], drawn, trusted])  # so that the fit doesn't depend on the order of tasks
+    x, drawn, trusted = x[order], drawn[order], trusted[order]
+    positive, unlabelled = x[trusted], x[drawn]
+    if not len(positive) or not len(unlabelled):
         return None
-    known = quality >= 0
-    prior = float((quality == 1).sum() / known.sum()) if (quality == 0).any() else estimated_prior(positive, x)
-    return fit(positive, x, prior)
+    prior = known[1] / sum(known.values()) if 0 in known else estimated_prior(positive, unlabelled)
+    return fit(positive, unlabelled, prior)
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:

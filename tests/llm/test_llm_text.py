@@ -367,6 +367,16 @@ def test_quality_learns(spark, docs, none):
     assert 0.4 < quality.score(frame, quality.train(frame, positives)).agg({"predicted": "avg"}).first()[0] < 0.9
 
 
+def test_quality_keeps_labels(spark):
+    good, bad = "Plain words make a sentence here, and one more. ", "BUY!! NOW!! CHEAP!! PILLS!! "
+    rows = [(i, (good if i % 3 else bad) * (1 + i % 5)) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(12)], "doc_id long, quality int")
+    drawn = quality.train(frame, labels, fit_rows=200)
+    assert drawn is not None  # a few labels, however large the fold
+    assert quality.score(frame, drawn).where("predicted <> CAST(doc_id % 3 > 0 AS INT)").count() == 0
+
+
 def test_pipeline(spark, tmp_path):
     benchmark = " ".join(f"bench{i}" for i in range(15))
     rows = [(i, f"{BASE} {i} " + " ".join(f"t{i}x{j}" for j in range(40)), "en", "s", 1) for i in range(20)]
