@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
-    chat, decontaminate, language, ngram_join, pieces, pii, quality, token_counts, topk, url_filter,
+    chat, decontaminate, language, mixing, ngram_join, pieces, pii, quality, token_counts, topk, url_filter, whiten,
 )
 from starloom.llm.batches import Scratch, held_out
 
@@ -218,3 +218,16 @@ def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     coded = pieces.coded(docs)
     return coded.select("doc_id", "n_pieces", "ids_sha256", F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"), "ids")
+
+
+@_query()
+def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes of every document."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs, Scratch(spark)).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@_query()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The 16 leading whitened components of every vector."""
+    return whiten.whiten(_table(spark, folder, "embeddings").select("vec_id", "embedding"), Scratch(spark))
