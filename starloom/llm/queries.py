@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
-    chat, decontaminate, language, mixing, ngram_join, pieces, pii, quality, token_counts, topk, url_filter, whiten,
+    chat, decontaminate, language, mixing, ngram_join, pieces, pii, quality, repair, token_counts, topk, url_filter, whiten,
 )
 from starloom.llm.batches import Scratch, held_out
 
@@ -231,3 +231,89 @@ def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """The 16 leading whitened components of every vector."""
     return whiten.whiten(_table(spark, folder, "embeddings").select("vec_id", "embedding"), Scratch(spark))
+
+
+# costs before a row, inserts allowed, from those after it: u0..u3 without inserts first
+_REPAIR_SQL = r"""
+WITH RECURSIVE numbers AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce([4294967295] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)),
+      lambda h, b: list_reduce([xor(h, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS fault
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))
+  FROM numbers
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    CASE left(role, 1) WHEN 's' THEN 's' WHEN 'u' THEN 'u' WHEN 'a' THEN 'a' ELSE '-' END AS r
+  FROM placed
+), coded AS MATERIALIZED (
+  SELECT conv_id, i, role, text, turn, fault, r, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000 WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more,
+    lag(r) OVER (PARTITION BY conv_id ORDER BY i) AS r_before
+  FROM judged
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (r_before IS NOT NULL AND r_before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM coded GROUP BY conv_id
+), back AS (
+  SELECT conv_id, n + 1 AS i, 0 AS v0, 10 AS v1, 5 AS v2, 0 AS v3 FROM counts
+  UNION ALL
+  SELECT conv_id, i, least(u0, 5 + u2, 10 + u3), least(u1, 5 + u2, 10 + u3), least(u2, 5 + u3), least(u3, 5 + u2)
+  FROM (
+    SELECT back.conv_id, coded.i,
+      least(2 + v0, more + 1 + v2, more + CASE r WHEN 's' THEN v1 WHEN 'u' THEN v2 ELSE 1000000 END) AS u0,
+      least(2 + v1, more + 1 + v2, more + CASE r WHEN 'u' THEN v2 ELSE 1000000 END) AS u1,
+      least(2 + v2, more + 1 + v3, more + CASE r WHEN 'a' THEN v3 ELSE 1000000 END) AS u2,
+      least(2 + v3, more + 1 + v2, more + CASE r WHEN 'u' THEN v2 ELSE 1000000 END) AS u3
+    FROM back JOIN coded ON coded.conv_id IS NOT DISTINCT FROM back.conv_id AND coded.i = back.i - 1
+  )
+), costs AS MATERIALIZED (SELECT conv_id, i, [v0, v1, v2, v3] AS v FROM back),
+walk AS (
+  SELECT conv_id, 1::BIGINT AS i, 0 AS s, '' AS audit, []::VARCHAR[] AS lines, false AS done FROM counts
+  UNION ALL
+  SELECT conv_id, CASE WHEN e IN ('I', '.') THEN i ELSE i + 1 END, CASE e WHEN 'D' THEN s WHEN '.' THEN s WHEN 'K' THEN keep ELSE turned END,
+    CASE e WHEN '.' THEN audit ELSE audit || e END,
+    CASE e WHEN 'K' THEN lines || [role || ':' || text] WHEN 'R' THEN lines || [said || ':' || text] WHEN 'I' THEN lines || [said || ':'] ELSE lines END, e = '.'
+  FROM (
+    SELECT *, CASE WHEN role IS NULL THEN CASE WHEN here[s + 1] = 0 THEN '.' ELSE 'I' END
+      WHEN 2 + after[s + 1] = here[s + 1] THEN 'D' WHEN 5 + here[turned + 1] = here[s + 1] THEN 'I'
+      WHEN keep >= 0 AND more + after[keep + 1] = here[s + 1] THEN 'K' ELSE 'R' END AS e
+    FROM (
+      SELECT walk.*, coded.role, coded.text, more, h.v AS here, a.v AS after, CASE s WHEN 2 THEN 3 ELSE 2 END AS turned,
+        CASE s WHEN 2 THEN 'assistant' ELSE 'user' END AS said,
+        CASE WHEN s = 0 AND r = 's' THEN 1 WHEN s <> 2 AND r = 'u' THEN 2 WHEN s = 2 AND r = 'a' THEN 3 ELSE -1 END AS keep
+      FROM walk JOIN costs h ON h.conv_id IS NOT DISTINCT FROM walk.conv_id AND h.i = walk.i
+      LEFT JOIN costs a ON a.conv_id IS NOT DISTINCT FROM walk.conv_id AND a.i = walk.i + 1
+      LEFT JOIN coded ON coded.conv_id IS NOT DISTINCT FROM walk.conv_id AND coded.i = walk.i
+      WHERE NOT done
+    )
+  )
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(v[1], 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN costs ON costs.conv_id IS NOT DISTINCT FROM o.conv_id AND costs.i = 1
+LEFT JOIN walk ON walk.conv_id IS NOT DISTINCT FROM o.conv_id AND done
+"""
+
+
+@_query(_REPAIR_SQL)
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    edits, faults = repair.repair(repair.damaged(rows), Scratch(spark))
+    out = rows.select("conv_id").distinct()
+    for part in (faults, repair.digests(edits)):
+        part = part.withColumnRenamed("conv_id", "_conv")
+        out = out.join(part, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit(b""), 256)
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))

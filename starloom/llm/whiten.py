@@ -135,7 +135,7 @@ def largest_pairs(matrix: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarr
     near = bound / 2**19  # closer ones are not cut apart
     top = _located(diagonal, off, 1, bound)[0]
     wanted = min(wanted, count_above(diagonal, off, d * np.finfo(float).eps * top))
-    values, vectors = [], []
+    vectors = []
     places = _located(diagonal, off, min(d, wanted + SLICE), bound)
     while len(places) < d and places[wanted - 1] - places[-1] <= near:  # a cluster reaches over the end
         places = _located(diagonal, off, min(d, 2 * len(places)), bound)
@@ -149,12 +149,12 @@ def largest_pairs(matrix: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarr
         end = max(fitting[len(fitting) // 2 :], key=width.get) if any(g < wanted for g in fitting) else next(g for g in fitting if g >= wanted)
         low = (places[end - 1] + places[end]) / 2 if end < d else places[-1] - bound / 2**10
         count = count_above(diagonal, off, low) - count_above(diagonal, off, high)
-        found, directions = contour_pairs(matrix, low, high, count)
-        values.append(found[::-1])
-        vectors.append(directions[:, ::-1])
+        vectors.append(contour_pairs(matrix, low, high, count)[1])
         begin, high = end, low
-    values, vectors = np.concatenate(values)[:wanted], np.concatenate(vectors, axis=1)[:, :wanted]
-    vectors = vectors / np.linalg.norm(vectors, axis=0)
+    # Rayleigh-Ritz once more on all slices: neighbours in different slices become orthogonal to rounding
+    basis, _ = np.linalg.qr(np.concatenate(vectors, axis=1))
+    ritz, mixed = np.linalg.eigh(basis.T @ matrix @ basis)
+    values, vectors = ritz[::-1][:wanted], (basis @ mixed)[:, ::-1][:, :wanted]
     strongest = vectors[np.abs(vectors).argmax(axis=0), np.arange(wanted)]
     return values, vectors * np.where(strongest < 0, -1.0, 1.0)
 
