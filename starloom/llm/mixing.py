@@ -33,8 +33,8 @@ from starloom.operators.keys import surrogate_key
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-SHARD_ROWS = 1 << 17
-FAN = 1 << 12
+SHARD_ROWS = 1 << 12
+FAN = 1 << 8
 LANDING = 12
 _EDGE = 1e-9  # a probability this near to 0 or 1 has arrived
 
@@ -200,7 +200,7 @@ def mix(documents: DataFrame, scratch: Scratch, weights: Sequence[float] = WEIGH
         )
         number, left = number + 1, -(-left // FAN)
     out = parts[0]
-    for part in parts[1:]:  # as many as rounds: two for 10^9 documents of a source
+    for part in parts[1:]:  # as many as rounds: four for 10^10 documents of a source
         out = out.unionByName(part)
     copies = F.when(F.col("size") > 0, F.col("base") + F.col("p").cast("int")).otherwise(0)
     return out.select(
