@@ -245,10 +245,17 @@ def _sigmoid(z: float) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+def _counted(found: DataFrame) -> DataFrame:
+    """Candidates by fold, label and features, with their number."""
+    # explode_outer: for a plain one Spark infers a filter on the array's size, and with it evaluates the whole extraction twice
+    each = found.select(held_out().alias("held"), F.explode_outer("_cand").alias("c")).select("held", "c.label", *[f"c.{f}" for f in FEATURES])
+    each = each.where(F.col("label").isNotNull())
+    return each.groupBy("held", "label", *FEATURES).agg(F.count("*").alias("n"))
+
+
 def train(found: DataFrame) -> Model:
     """Trees and thresholds from the candidates of all documents; see :func:`candidates`."""
-    each = found.select(held_out().alias("held"), F.explode("_cand").alias("c")).select("held", "c.label", *[f"c.{f}" for f in FEATURES])
-    table = each.groupBy("held", "label", *FEATURES).agg(F.count("*").alias("n")).collect()
+    table = _counted(found).collect()
     counts: dict[tuple, list[float]] = defaultdict(lambda: [0] * 6)  # refuted, confirmed, undecided, in the fold and held out
     for r in sorted(table, key=tuple):
         counts[tuple(r[f] for f in FEATURES)][3 * r["held"] + r["label"]] += r["n"]
