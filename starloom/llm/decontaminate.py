@@ -6,7 +6,7 @@ pattern that holds it, and the full jump otherwise, so most positions are never
 looked at.  Where the shift is 0 the block's hash selects the bucket of patterns
 with that suffix; their words are compared, by hash and then by the bytes.
 
-The patterns are the benchmark's windows.  They are read in blocks of at most
+The patterns are the benchmark's windows, cut in tasks.  They are read in blocks of about
 ``BLOCK_WORDS`` words, each a broadcast of bounded size and one more pass over the
 texts in the same stage, so a benchmark of any size works.  The documents are
 never shuffled.
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.batches import append_columns
+from starloom.llm.batches import Scratch, append_columns, map_rows, scratch
 from starloom.llm.words import LETTERS_AND_DIGITS, Words, mix, words_of
 
 WINDOW = 10
@@ -31,7 +31,6 @@ SEGMENT = 256
 _TABLE_BITS = 20
 
 RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-_STATE = "_hits array<int>, _items array<string>"
 
 
 class WuManber:
@@ -103,21 +102,31 @@ class WuManber:
                 yield first, p
 
 
-def windows(benchmark: DataFrame, size: int = WINDOW) -> Iterator[list[tuple[str, bytes]]]:
-    """Blocks of (item id, window words joined by a space), each of bounded size."""
-    block, held = [], 0
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), "text")
-    for row in rows.toLocalIterator(prefetchPartitions=False):
-        words = words_of(pa.array([row["text"]], pa.string()), LETTERS_AND_DIGITS)
-        n = len(words.starts)
-        for a in range(max(n - size + 1, 1 if n else 0)):
-            block.append((row["i"], words.text(a, min(a + size, n))))
-            held += min(size, n)
-            if held >= BLOCK_WORDS:
-                yield block
-                block, held = [], 0
-    if block:
-        yield block
+def windows(benchmark: DataFrame, scratch: Scratch, size: int = WINDOW) -> Iterator[list[tuple[str, bytes]]]:
+    """Blocks of (item id, window words joined by a space), each of bounded size.
+
+    Windows are cut in tasks and stored once each; a block is those of one residue of their hash, so the driver
+    holds one block at a time.
+    """
+
+    def make():
+        def cut(piece: pa.RecordBatch) -> Iterator[dict[str, pa.Array]]:
+            words = words_of(piece.column("text"), LETTERS_AND_DIGITS)
+            items, texts = [], []
+            for item, a, b in zip(piece.column("item").to_pylist(), words.first[:-1].tolist(), words.first[1:].tolist()):
+                for at in range(a, max(b - size + 1, a + (b > a))):
+                    items.append(item)
+                    texts.append(words.text(at, min(at + size, b)))
+            yield {"item": pa.array(items, pa.string()), "w": pa.array(texts, pa.binary())}
+
+        return cut
+
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text")
+    table = scratch.keep(map_rows(rows, make, "item string, w binary").distinct())
+    blocks = max(1, -(-table.count() * size // BLOCK_WORDS))
+    for b in range(blocks):
+        part = table.where(F.pmod(F.xxhash64("w"), F.lit(blocks)) == b).toArrow()
+        yield list(zip(part.column("item").to_pylist(), part.column("w").to_pylist()))
 
 
 def _matchers(block: list[tuple[str, bytes]]) -> list[WuManber]:
@@ -129,19 +138,19 @@ def _matchers(block: list[tuple[str, bytes]]) -> list[WuManber]:
     return [WuManber(n, patterns) for n, patterns in sorted(by_length.items())]
 
 
-def _search(block, last: bool):
+def _search(block, last: bool, hits: str, found: str):
     def make():
         matchers = _matchers(block.value)
 
         def compute(piece: pa.RecordBatch) -> dict[str, pa.Array]:
             words = words_of(piece.column("text"), LETTERS_AND_DIGITS)
             n, known = piece.num_rows, piece.schema.names
-            spans = piece.column("_hits").to_pylist() if "_hits" in known else [[] for _ in range(n)]
-            items = [set(x) for x in piece.column("_items").to_pylist()] if "_items" in known else [set() for _ in range(n)]
+            spans = piece.column(hits).to_pylist() if hits in known else [[] for _ in range(n)]
+            items = [set(x) for x in piece.column(found).to_pylist()] if found in known else [set() for _ in range(n)]
             for m in matchers:
-                hits = sorted(m.find(words))
-                docs = np.searchsorted(words.first, [a for a, _ in hits], "right") - 1
-                for (a, p), d in zip(hits, docs.tolist()):
+                places = sorted(m.find(words))
+                docs = np.searchsorted(words.first, [a for a, _ in places], "right") - 1
+                for (a, p), d in zip(places, docs.tolist()):
                     begin = a - int(words.first[d])
                     held = spans[d]
                     if held and held[-2] <= begin <= held[-1]:  # runs on: one span
@@ -151,7 +160,7 @@ def _search(block, last: bool):
                     items[d].update(m.items[p])
             if last:
                 return _summary(np.diff(words.first), spans, items)
-            return {"_hits": pa.array(spans, pa.list_(pa.int32())), "_items": pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
+            return {hits: pa.array(spans, pa.list_(pa.int32())), found: pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
 
         return compute
 
@@ -183,9 +192,12 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     is the item ``null``; repeated documents are each marked.
     """
     context = docs.sparkSession.sparkContext
+    taken = {c.lower() for c in docs.columns}
+    hits, found = (next(n for n in (f"{'_' * i}{name}" for i in range(1, 999)) if n not in taken) for name in ("hits", "items"))
     out, held = docs, []
-    for block in windows(benchmark, window):
-        if held:
-            out = append_columns(out, _search(context.broadcast(held), False), _STATE)
-        held = block
-    return append_columns(out, _search(context.broadcast(held), True), RESULT).drop("_hits", "_items")
+    with scratch(docs.sparkSession) as own:
+        for block in windows(benchmark, own, window):
+            if held:
+                out = append_columns(out, _search(context.broadcast(held), False, hits, found), f"{hits} array<int>, {found} array<string>")
+            held = block
+    return append_columns(out, _search(context.broadcast(held), True, hits, found), RESULT).drop(hits, found)

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -123,6 +124,16 @@ def test_decontamination(spark, docs, monkeypatch):
     assert (whole["n_hit"], whole["n_items"]) == (12, 1)
 
 
+def test_decontamination_keeps_columns_of_any_name(spark, monkeypatch):
+    words = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, "clean", [0, 5], "x"), (2, words, [7], "y")], "doc_id long, text string, _hits array<int>, _Items string")
+    table = spark.createDataFrame([("a", words), ("b", None)], "item_id string, text string")
+    for block in (1_000_000, 20):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+        told = sorted(decontaminate.mark_contaminated(docs, table).collect(), key=lambda r: r["doc_id"])
+        assert [(r["n_hit"], r["contaminated"], r["_hits"], r["_Items"]) for r in told] == [(0, False, [0, 5], "x"), (30, True, [7], "y")]
+
+
 def test_decontamination_of_and_by_nothing(docs, none, spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.mark_contaminated(docs, empty).where("contaminated").count() == 0
@@ -202,6 +213,12 @@ def test_personal_data_beyond_the_base_rules(spark):
     assert not learned.where("spans LIKE '%token%'").count()  # nothing confirmed, nothing added
 
 
+def test_training_reads_patterns_once(spark):
+    frame = spark.createDataFrame([(1, " ".join(f"a{i}@b.de" for i in range(600)))], "doc_id long, text string")
+    plan = pii._counted(pii.candidates(frame))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(pii.PATTERNS["token"]) <= 2  # extraction and split
+
+
 def test_personal_data_of_nothing(none):
     assert pii.find(none.drop("n_words")).count() == 0
     assert pii.redact(none).columns == none.columns
@@ -285,6 +302,17 @@ def test_pieces_round_trip(text):
     assert model.decode(model.encode(text).tolist()) == text.replace("▁", " ")
 
 
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab thé\n\t日本🎉zq\u2581\0x7of and", max_size=60), st.text(alphabet="ab thé of and 日本🎉\n", max_size=400)), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_a_batch_of_pieces_equals_its_texts(texts):
+    with open(pieces.MODEL, "rb") as file:
+        model = test_a_batch_of_pieces_equals_its_texts.__dict__.setdefault("coder", None) or pieces.Coder(pieces.read_model(file.read()))
+    test_a_batch_of_pieces_equals_its_texts.coder = model
+    batch = model.encode_batch(pa.array(["zz", *texts], pa.string()).slice(1))
+    assert batch.to_pylist() == [None if t is None else model.encode(t).tolist() for t in texts]
+    assert model.decode_batch(batch).to_pylist() == [None if t is None else t.replace("\u2581", " ") for t in texts]
+
+
 def test_pieces_of_frames(spark, docs, none):
     back = pieces.decode(pieces.encode(docs))
     assert back.where("NOT (text <=> decoded)").count() == 0
