@@ -203,6 +203,22 @@ def keyword_contains_pairs(spark, folder):
     return contains_pairs(unique, "word_id", "word", parts, "p_partkey", "p_name")
 
 
+@query("""
+    WITH terms AS (
+        SELECT DISTINCT lower(w[i] || ' ' || w[i + 1]) AS term
+        FROM (SELECT string_split(text, ' ') AS w, unnest(range(1, len(string_split(text, ' ')))) AS i FROM benchmark)
+    )
+    SELECT term, doc_id FROM terms JOIN documents ON contains(lower(text), term)
+""")
+def benchmark_terms_in_documents(spark, folder):
+    """J9 at size: every pair of neighbouring words of the benchmark inside every whole document."""
+    words = load(spark, folder, "benchmark").select(F.split("text", " ").alias("w"))
+    pair = F.transform("w", lambda x, i: F.concat(x, F.lit(" "), F.get("w", i + 1)))
+    terms = words.select(F.explode(pair).alias("term")).select(F.lower("term").alias("term")).filter("term IS NOT NULL").distinct()
+    documents = load(spark, folder, "documents").select("doc_id", "text")
+    return contains_pairs(terms, "term", "term", documents, "doc_id", "text")
+
+
 @query("""
     SELECT n_nationkey, n_name, count(s_suppkey) AS suppliers
     FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey AND s_acctbal > 5000

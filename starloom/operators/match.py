@@ -3,19 +3,24 @@
 Two forms with the same result.  The goals are a fixed table of 20 rows, so
 matching against them is a filter over a literal array inside a projection: no
 join, no shuffle, and the cost per keyword row is constant.  For two tables
-that both grow there is an equi-join on a shared piece of text.
+that both grow there is an index of each keyword's rarest piece.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import stored
+
 SCORE_PRIMARY = 80.0
 SCORE_SECONDARY = 60.0
-PIECE = 6
+PIECE = 4
+CHUNK = 512
+HOT = 4096
+MOST_BITS = 1 << 26  # 8 MB
 
 
 def match_fixed_targets(
@@ -48,38 +53,98 @@ def match_fixed_targets(
     )
 
 
-def _pieces(text, width: int):
-    """Distinct substrings of ``width`` characters (none when the text is shorter)."""
-    starts = F.sequence(F.lit(1), F.length(text) - width + 1)
-    cut = F.transform(starts, lambda start: F.substring(text, start, F.lit(width)))
-    return F.when(F.length(text) >= width, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+def _grams(text: Column) -> Column:
+    """The ``PIECE`` characters from each position of ``text`` on that has as many after it; linear in the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{PIECE}}}))."), F.lit(1))
+
+
+def _bitmap(pieces: DataFrame) -> tuple[Column, int]:
+    """Bits of the hashes of ``_piece`` as one array of longs, and its width; the width follows the rows up to ``MOST_BITS``.
+
+    A fuller bitmap lets more through, it never keeps a piece out.
+    """
+    rows = pieces.select("_piece").distinct()
+    bits = 1 << 12
+    count = rows.count()
+    while bits < 16 * count and bits < MOST_BITS:
+        bits *= 2
+    place = F.pmod(F.xxhash64("_piece"), F.lit(bits))
+    words = rows.groupBy(F.shiftright(place, 6).alias("id")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(_piece), {bits}) % 64 AS INT))")).alias("bits")
+    )
+    filled = pieces.sparkSession.range(bits // 64).join(words, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("bits"))
+    listed = filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "bits"))), lambda x: x["bits"]).alias("bits"))
+    return listed.scalar(), bits
+
+
+def _occurrences(texts: DataFrame, text_id: str, longest: int, widths: Sequence[int], known: tuple[Column, int]) -> DataFrame:
+    """(text id, ``_piece``, ``_window``, ``_at``): positions of ``_text`` where a piece of the bitmap ``known`` begins.
+
+    A text is cut into chunks of at least the longest keyword, and a chunk into the ``PIECE`` characters from each
+    position on; so arrays stay as short as a chunk and every step is linear in the text.  ``_window`` holds
+    what a keyword around the piece can cover, the piece begins at its character ``_at`` (from 0).
+    """
+    step = max(CHUNK, longest)
+    cut = texts.select(text_id, F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{step}}}"), F.lit(0)).alias("_chunks"))
+
+    def neighbours(chunk: Column, i: Column) -> Column:
+        before = F.coalesce(F.get("_chunks", i - 1), F.lit(""))
+        after = F.coalesce(F.get("_chunks", i + 1), F.lit(""))
+        return F.struct(chunk.alias("core"), F.right(before, F.lit(longest)).alias("before"), F.left(after, F.lit(longest)).alias("after"))
+
+    # outer: a plain explode of an array that is built here would make Spark test its size first, and build it twice
+    chunk = cut.select(text_id, F.explode_outer(F.transform("_chunks", neighbours)).alias("_c")).select(text_id, "_c.*")
+    padded = F.concat("core", F.rpad(F.substring("after", 1, PIECE - 1), PIECE - 1, "\0"))
+    places = chunk.select(text_id, "core", "before", "after", F.posexplode_outer(_grams(padded)).alias("_in", "_gram"))
+    narrow = F.array(*[F.substring("_gram", 1, w) for w in widths])
+    pieces = places.withColumn("_piece", F.col("_gram") if list(widths) == [PIECE] else F.explode_outer(narrow))
+    bits, width = known
+    place = F.pmod(F.xxhash64("_piece"), F.lit(width))
+    bit = F.get(bits, F.shiftright(place, 6).cast("int"))
+    held = pieces.where(F.expr("_piece IS NOT NULL") & (F.call_function("getbit", bit, (place % 64).cast("int")) == 1))
+    begin = F.length("before") + F.col("_in")
+    first = F.greatest(begin - longest, F.lit(0))
+    return held.select(
+        text_id, "_piece", F.substring(F.concat("before", "core", "after"), first + 1, F.lit(2 * longest)).alias("_window"),
+        (begin - first).alias("_at"),
+    )
 
 
 def contains_pairs(
     keywords: DataFrame, keyword_id: str, keyword: str, texts: DataFrame, text_id: str, text: str
 ) -> DataFrame:
-    """J9 for two tables: pairs (keyword id, text id) where the text contains the keyword.
+    """J9 for two growing tables: pairs (keyword id, text id) where the text contains the keyword, by a rarest-piece index.
 
-    Both ids must be unique.  A text that contains a keyword contains the
-    keyword's first ``PIECE`` characters (all of a shorter one), so the sides
-    meet on that piece and each candidate is then verified on the whole text.
-    Candidates share a real piece of text; all pairs are never formed.
+    Both ids must be unique; blank and null keywords match nothing, case is ignored.
+
+    Of all pieces (``PIECE`` characters, or a shorter keyword whole) of a keyword, the one that is rarest in the
+    texts files it in the index, with its offset.  The texts are then read once more: only positions where a filed piece
+    begins leave a task, with the characters around them, and meet the index on the piece; the match is
+    verified right there.  A keyword with a piece that no text has is out at once.  A piece that takes more than
+    one ``HOT``-th of all positions is dealt over several tasks; there are less than ``HOT`` of them for each width.
     """
-    words = (
-        keywords.select(F.col(keyword_id), F.lower(F.col(keyword)).alias("_word"))
-        .filter(F.trim("_word") != "")
-        .withColumn("_piece", F.substring("_word", 1, PIECE))
-    )
-    # at most PIECE different widths
-    widths = sorted(row[0] for row in words.select(F.length("_piece")).distinct().collect())
+    words = keywords.select(F.col(keyword_id), F.lower(F.col(keyword)).alias("_word")).filter(F.trim("_word") != "")
+    size = F.length("_word")
+    longest, widths = words.agg(F.max(size), F.collect_set(F.least(size, F.lit(PIECE)))).first()
     body = texts.select(F.col(text_id), F.lower(F.col(text)).alias("_text"))
-    if not widths:
+    if not widths:  # at most PIECE different widths
         return words.select(keyword_id).join(body.select(text_id), F.lit(False))
-    pieces = F.flatten(F.array(*[_pieces(F.col("_text"), width) for width in widths]))
-    candidates = body.select(text_id, F.explode(pieces).alias("_piece")).join(words, "_piece")
-    return (
-        candidates.select(keyword_id, text_id, "_word")
-        .join(body, text_id)
-        .filter(F.col("_text").contains(F.col("_word")))
-        .select(keyword_id, text_id)
+    widths = sorted(widths)
+    own = F.when(size < PIECE, F.array("_word")).otherwise(_grams(F.col("_word")))
+    filed = words.select(keyword_id, "_word", F.posexplode_outer(own).alias("_offset", "_piece"))
+    counts = stored(
+        _occurrences(body, text_id, longest, widths, _bitmap(filed)).groupBy("_piece").agg(F.count("*").alias("_rows"))
+    )
+    rarest = F.min(F.struct(F.coalesce("_rows", F.lit(0)).alias("_rows"), "_offset", "_piece")).alias("_r")
+    index = stored(
+        filed.join(counts, "_piece", "left").groupBy(keyword_id, "_word").agg(rarest)
+        .select(keyword_id, "_word", "_r.*").filter("_rows > 0")
     )
+    share = F.ceil(F.col("_rows") * HOT / F.lit(counts.agg(F.sum("_rows")).first()[0] or 1))
+    hot = index.filter(share > 1).select("_piece", share.alias("_parts")).distinct()
+    found = _occurrences(body, text_id, longest, widths, _bitmap(index)).join(F.broadcast(hot), "_piece", "left")
+    dealt = found.withColumn("_part", F.coalesce(F.pmod(F.xxhash64(text_id, "_at", "_window"), F.col("_parts")), F.lit(0)))
+    copies = index.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), share - 1)))
+    begin = F.col("_at") - F.col("_offset")
+    same = (begin >= 0) & (F.substring("_window", begin + 1, F.length("_word")) == F.col("_word"))
+    return dealt.join(copies, ["_piece", "_part"]).filter(same).select(keyword_id, text_id, "_word").distinct().drop("_word")

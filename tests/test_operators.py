@@ -1,5 +1,7 @@
 """Relational operators on hand-made rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -245,3 +247,28 @@ def test_integrity(spark, rows):
     assert rows(integrity.duplicate_keys(fact, ["k"])) == [(1, 2)]
     assert [r["data_type"] for r in integrity.describe_schema(dim).collect()] == ["int"]
     assert integrity.all_zero(spark.createDataFrame([(0,), (0,)], "k int"), "k").first()["suspicious"]
+
+
+def test_contains_pairs_of_odd_texts(spark, monkeypatch):
+    monkeypatch.setattr(match, "CHUNK", 7)
+    monkeypatch.setattr(match, "HOT", 8)
+    rng = random.Random(11)
+    letters = "ab é日😀\0\n"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 3, 8, 30, 200]))) for _ in range(60)] + [None, "A" * 3000, "xABCDEFGHIJKLMNOPy"]
+    words = {"".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 3, 4, 5, 9]))) for _ in range(80)}
+    words = [*words, None, "  ", "Abcdefghijklmnop", "aaaa", "a" * 40, "nowhere", "é", "日😀", texts[4][:9]]
+    left = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "w int, word string")
+    right = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "t int, body string")
+    found = {tuple(r) for r in match.contains_pairs(left, "w", "word", right, "t", "body").collect()}
+    assert found == {
+        (i, j) for i, w in enumerate(words) for j, t in enumerate(texts) if w and w.strip(" ") and t is not None and w.lower() in t.lower()
+    }
+
+
+def test_contains_pairs_files_under_the_rarest_piece(spark):
+    texts = spark.createDataFrame([(i, "the cat sat on the mat") for i in range(50)] + [(99, "the zebra")], "t int, body string")
+    words = spark.createDataFrame([(1, "the zebra"), (2, "the cat")], "w int, word string")
+    plan = match.contains_pairs(words, "w", "word", texts, "t", "body")
+    assert plan.count() == 51
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
