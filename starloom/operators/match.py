@@ -20,7 +20,7 @@ SCORE_SECONDARY = 60.0
 PIECE = 4
 CHUNK = 512
 HOT = 4096
-MOST_BITS = 1 << 26  # 8 MB
+BITS = 1 << 20  # 128 KB in each task
 
 
 def match_fixed_targets(
@@ -58,26 +58,18 @@ def _grams(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{PIECE}}}))."), F.lit(1))
 
 
-def _bitmap(pieces: DataFrame) -> tuple[Column, int]:
-    """Bits of the hashes of ``_piece`` as one array of longs, and its width; the width follows the rows up to ``MOST_BITS``.
-
-    A fuller bitmap lets more through, it never keeps a piece out.
-    """
-    rows = pieces.select("_piece").distinct()
-    bits = 1 << 12
-    count = rows.count()
-    while bits < 16 * count and bits < MOST_BITS:
-        bits *= 2
-    place = F.pmod(F.xxhash64("_piece"), F.lit(bits))
-    words = rows.groupBy(F.shiftright(place, 6).alias("id")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(_piece), {bits}) % 64 AS INT))")).alias("bits")
+def _bitmap(pieces: DataFrame) -> Column:
+    """``BITS`` bits of the hashes of ``_piece`` as one array of longs; a fuller one lets more through and never keeps a piece out."""
+    place = F.expr(f"pmod(xxhash64(_piece), {BITS})")
+    words = pieces.groupBy(F.shiftright(place, 6).alias("id")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(_piece), {BITS}) % 64 AS INT))")).alias("bits")
     )
-    filled = pieces.sparkSession.range(bits // 64).join(words, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("bits"))
+    filled = pieces.sparkSession.range(BITS // 64).join(words, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("bits"))
     listed = filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "bits"))), lambda x: x["bits"]).alias("bits"))
-    return listed.scalar(), bits
+    return listed.scalar()
 
 
-def _occurrences(texts: DataFrame, text_id: str, longest: int, widths: Sequence[int], known: tuple[Column, int]) -> DataFrame:
+def _occurrences(texts: DataFrame, text_id: str, longest: int, widths: Sequence[int], known: Column) -> DataFrame:
     """(text id, ``_piece``, ``_window``, ``_at``): positions of ``_text`` where a piece of the bitmap ``known`` begins.
 
     A text is cut into chunks of at least the longest keyword, and a chunk into the ``PIECE`` characters from each
@@ -98,9 +90,8 @@ def _occurrences(texts: DataFrame, text_id: str, longest: int, widths: Sequence[
     places = chunk.select(text_id, "core", "before", "after", F.posexplode_outer(_grams(padded)).alias("_in", "_gram"))
     narrow = F.array(*[F.substring("_gram", 1, w) for w in widths])
     pieces = places.withColumn("_piece", F.col("_gram") if list(widths) == [PIECE] else F.explode_outer(narrow))
-    bits, width = known
-    place = F.pmod(F.xxhash64("_piece"), F.lit(width))
-    bit = F.get(bits, F.shiftright(place, 6).cast("int"))
+    place = F.pmod(F.xxhash64("_piece"), F.lit(BITS))
+    bit = F.get(known, F.shiftright(place, 6).cast("int"))
     held = pieces.where(F.expr("_piece IS NOT NULL") & (F.call_function("getbit", bit, (place % 64).cast("int")) == 1))
     begin = F.length("before") + F.col("_in")
     first = F.greatest(begin - longest, F.lit(0))
@@ -140,7 +131,7 @@ def contains_pairs(
         filed.join(counts, "_piece", "left").groupBy(keyword_id, "_word").agg(rarest)
         .select(keyword_id, "_word", "_r.*").filter("_rows > 0")
     )
-    share = F.ceil(F.col("_rows") * HOT / F.lit(counts.agg(F.sum("_rows")).first()[0] or 1))
+    share = F.ceil(F.col("_rows") * HOT / counts.agg(F.sum("_rows")).scalar())
     hot = index.filter(share > 1).select("_piece", share.alias("_parts")).distinct()
     found = _occurrences(body, text_id, longest, widths, _bitmap(index)).join(F.broadcast(hot), "_piece", "left")
     dealt = found.withColumn("_part", F.coalesce(F.pmod(F.xxhash64(text_id, "_at", "_window"), F.col("_parts")), F.lit(0)))
