@@ -84,17 +84,24 @@ def lookup_sk_fallback(
     fact before earlier joins.
     """
     target = target or sk
-    zero = fact.withColumn(target, F.lit(0))
+    chosen = chosen_lookup(fact, dim, fact_key, dim_keys, sk, probe)
+    return fact.withColumn(target, F.lit(0)) if chosen is None else attach_key(fact, chosen[1], chosen[0], target)
+
+
+def chosen_lookup(
+    fact: DataFrame, dim: DataFrame, fact_key: str | None, dim_keys: Sequence[str], sk: str, probe: DataFrame | None = None,
+) -> tuple[Column, DataFrame] | None:
+    """Key of a fact row and key table of the first column of ``dim_keys`` that hits; see :func:`lookup_sk_fallback`."""
     if fact_key is None or fact_key not in fact.columns:
-        return zero
+        return None
     key = identifier_of(fact, fact_key)
     candidates = present(dim, dim_keys)
     if not candidates:
-        return zero
+        return None
     name = candidates[0] if len(candidates) == 1 else _first_hit(
         (fact if probe is None else probe).select(key.alias("_key")), dim, candidates, sk
     )
-    return zero if name is None else attach_key(fact, key_table(dim, name, sk), key, target)
+    return None if name is None else (key, key_table(dim, name, sk))
 
 
 def _first_hit(keys: DataFrame, dim: DataFrame, candidates: Sequence[str], sk: str) -> str | None:

@@ -11,8 +11,9 @@ from starloom.fixed_values import GOAL_DESCRIPTORS, GOALS, NOT_INFORMED
 from starloom.functions import numbers, text
 from starloom.functions.labels import match_note, state_code
 from starloom.operators.keys import surrogate_key
-from starloom.operators.lookup import attach_bridge, lookup_sk, lookup_sk_fallback, lookup_sk_priority
+from starloom.operators.lookup import attach_bridge, chosen_lookup, key_table, lookup_sk, lookup_sk_fallback, lookup_sk_priority
 from starloom.operators.match import match_fixed_targets
+from starloom.operators.registry import lookup_many
 from starloom.operators.shape import (
     first_filled, light_name, present, rename_all, resolve_aliases, snake_name, standard_sk, with_defaults,
 )
@@ -64,13 +65,12 @@ def fact_producao(authors: DataFrame, dims: Mapping[str, DataFrame]) -> DataFram
         *[text.id_text(authors, column).alias(column) for column in AUTHOR_ROLES.values()],
     )
     fact = fact.withColumn("tempo_sk", year_key(dims["tempo"], F.col("ano_base")))
-    for dimension, column in AUTHOR_ROLES.items():
-        sk = f"{dimension}_sk"
-        if dimension in dims:
-            person = text.id_text(dims[dimension], "id_pessoa")
-            fact = lookup_sk(fact, dims[dimension], F.col(column), person, sk, clean=None)
-        else:
-            fact = fact.withColumn(sk, F.lit(0))
+    people = {
+        f"{dimension}_sk": (F.col(column), key_table(dims[dimension], text.id_text(dims[dimension], "id_pessoa"), f"{dimension}_sk", clean=None))
+        for dimension, column in AUTHOR_ROLES.items() if dimension in dims
+    }
+    fact = lookup_many(fact, people)
+    fact = fact.withColumns({f"{d}_sk": F.lit(0) for d in AUTHOR_ROLES if d not in dims})
     return conform(fact.withColumns({"localidade_sk": F.lit(0), "qtd_producao": F.lit(1)}), "fact_producao")
 
 
@@ -112,6 +112,7 @@ AUTHORSHIP_LOOKUPS = {
     "titulado": (["titulado_id"], ["id_pessoa"]),
     "posdoc": (["posdoc_id"], ["id_pessoa"]),
 }
+PERSON_ROLES = ("docente", "discente", "titulado", "posdoc")
 AUTHORSHIP_SOURCE = "add_producao_autor"
 
 
@@ -125,6 +126,7 @@ def fact_producao_tema(
     if dims.get("tempo") is not None:
         year = numbers.whole_number(source, "ano_base").cast("int")
         fact = fact.withColumn("tempo_sk", year_key(dims["tempo"], year))
+    keyed = {}
     for dimension, (candidates, searched) in AUTHORSHIP_LOOKUPS.items():
         sk = f"{dimension}_sk"
         dim = dims.get(dimension)
@@ -134,7 +136,15 @@ def fact_producao_tema(
         # only candidates that the source really has; a choice among several costs one look at the data
         real = [c for c in candidates if present(named, AUTHORSHIP_ALIASES[c])]
         key = first_filled(source, real)
-        fact = lookup_sk_fallback(fact, standard_sk(dim, dimension), key, searched, sk, probe=source)
+        if dimension in PERSON_ROLES:
+            chosen = chosen_lookup(source, standard_sk(dim, dimension), key, searched, sk)
+            if chosen is None:
+                fact = fact.withColumn(sk, F.lit(0))
+            else:
+                keyed[sk] = chosen
+        else:
+            fact = lookup_sk_fallback(fact, standard_sk(dim, dimension), key, searched, sk, probe=source)
+    fact = lookup_many(fact, keyed)
     fact = with_defaults(fact, {"tempo_sk": 0}).select(
         numbers.whole_number(source, "producao_id").alias("producao_id"),
         *[numbers.at_least_zero(f"{d}_sk").cast("int").alias(f"{d}_sk") for d in ("tempo", *AUTHORSHIP_LOOKUPS)],

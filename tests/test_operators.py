@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import dedup, integrity, keys, lookup, maintain, match, shape
+from starloom.operators import dedup, integrity, keys, lookup, maintain, match, registry, shape
 from starloom.operators.consolidate import consolidate
 from starloom.operators.quality import QualityError, RuleSet, dimension_rules, require, summarize
 
@@ -272,3 +272,37 @@ def test_contains_pairs_files_under_the_rarest_piece(spark):
     assert plan.count() == 51
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_registry_equals_lookups_in_turn(no_broadcast, monkeypatch, rows):
+    spark = no_broadcast
+    monkeypatch.setattr(registry, "HOT", 4)
+    people = spark.createDataFrame([(str(i), i + 1) for i in range(20)], "_key string, _sk int")
+    others = spark.createDataFrame([(f"{i}|{i}", 100 + i) for i in range(5)], "_key string, _sk int")
+    numbers_ = spark.createDataFrame([(i, 500 + i) for i in range(9)], "_key bigint, _sk int")
+    data = [(i, str(i % 25) if i % 2 else "7", f"{i % 6}|{i % 6}" if i % 3 else None, i % 11 if i % 5 else None) for i in range(400)]
+    fact = spark.createDataFrame([*data, *data[:3], (None, None, None, None)], "n int, a string, b string, c bigint")
+    keys_ = {"a_sk": (F.col("a"), people), "b_sk": (F.col("b"), others), "c_sk": (F.col("c"), numbers_)}
+    chained = fact
+    for target, (key, table) in keys_.items():
+        chained = lookup.attach_key(chained, table, key, target)
+    found = registry.lookup_many(fact, keys_)
+    assert rows(found) == rows(chained.select(found.columns))
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1  # by row, of the keys found
+    assert rows(registry.lookup_many(fact.where("false"), keys_)) == []
+
+
+def test_small_keys_move_nothing(spark):
+    fact = spark.range(100).withColumn("k", F.col("id").cast("string"))
+    table = spark.createDataFrame([("1", 1)], "_key string, _sk int")
+    found = registry.lookup_many(fact, {"s": (F.col("k"), table)})
+    assert found.filter("s = 1").count() == 1
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()

@@ -385,3 +385,17 @@ def test_equal_rows_without_an_id_all_stay(spark):
     assert twice.select("id_posdoc").distinct().count() == 3
     keyless = spark.createDataFrame([("x",), ("y",)], "OUTRA string")
     assert raw.raw_docente(keyless).count() == 2
+
+
+@pytest.mark.parametrize("name, most", [("authorship_fact", 4), ("authorship_theme_fact", 12)])
+def test_roles_need_no_exchange_of_their_own(spark, name, most):
+    import registered
+
+    registered.load_all()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        fact = registered.QUERIES[name](spark, "/root/testdata/sf0.001")
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") <= most and "BroadcastHashJoin" not in plan
