@@ -9,6 +9,8 @@ from starloom.operators.aggregates import (
 )
 from starloom.operators.consolidate import consolidate
 from starloom.operators.shape import stack_rows
+from starloom.operators.sketches import HLL_ERROR, KLL_ERROR, merged, sketch, stacked
+from starloom.session import stored
 
 
 @query("""
@@ -49,6 +51,47 @@ def distinct_profile(spark, folder):
     return profile(load(spark, folder, "orders"), ["o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"])
 
 
+PROFILED = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+
+
+@query("""
+    WITH cells AS (
+        SELECT year(o_orderdate) >= 1995 AS late, unnest(['o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate']) AS "column",
+               unnest([o_custkey::VARCHAR, o_orderstatus, o_totalprice::VARCHAR, o_orderdate::VARCHAR]) AS v,
+               unnest([o_custkey, NULL, o_totalprice, NULL]::DOUBLE[]) AS number
+        FROM orders
+    )
+    SELECT late, "column", count(*) AS rows, count(*) - count(v) AS nulls, min(number) AS least, max(number) AS most, count(DISTINCT v) AS exact,
+           true AS distinct_within, CASE WHEN min(number) IS NOT NULL THEN true END AS median_within
+    FROM cells GROUP BY 1, 2
+""")
+def merged_profile(spark, folder):
+    """Sketches of yearly parts, stored, then merged into two spans; each estimate held against the exact result.
+
+    Within: 4 standard errors for distinct values, 2 rank errors for the median.
+    """
+    orders = load(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
+    parts = stored(sketch(orders, PROFILED, ["year"]))
+    spans = merged(parts.withColumn("late", F.col("year") >= 1995), ["late"], {"median": 0.5})
+    late = orders.withColumn("late", F.col("year") >= 1995)
+    exact = stacked(late, PROFILED, ["late"]).distinct().groupBy("late", "c").agg(F.count("*").alias("exact"))
+    named = exact.select("late", F.element_at(F.array(*[F.lit(c) for c in PROFILED]), F.col("c") + 1).alias("column"), "exact")
+    # share of rows at most the estimated median, for each number column
+    asked = spans.filter("median IS NOT NULL").groupBy("late").pivot("column", ["o_custkey", "o_totalprice"]).agg(F.first("median"))
+    ranks = late.join(F.broadcast(asked.withColumnsRenamed({"o_custkey": "m0", "o_totalprice": "m1"})), "late").groupBy("late").agg(
+        F.array(*[
+            F.struct(F.lit(c).alias("column"), F.avg((F.col(c) < F.col(m)).cast("int")).alias("low"), F.avg((F.col(c) <= F.col(m)).cast("int")).alias("high"))
+            for c, m in (("o_custkey", "m0"), ("o_totalprice", "m1"))
+        ]).alias("r")
+    ).select("late", F.explode("r").alias("r")).select("late", "r.*")
+    error = 4 * HLL_ERROR
+    return spans.join(named, ["late", "column"]).join(ranks, ["late", "column"], "left").select(
+        "late", "column", "rows", "nulls", "least", "most", "exact",
+        (F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * error)).alias("distinct_within"),
+        F.when(F.col("least").isNotNull(), (F.col("low") <= 0.5 + 2 * KLL_ERROR) & (F.col("high") >= 0.5 - 2 * KLL_ERROR)).alias("median_within"),
+    )
+
+
 @query("""
     SELECT l_suppkey, count(DISTINCT l_partkey) AS parts, count(*) AS lines,
            CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity

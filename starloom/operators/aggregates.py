@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.numbers import percentage
+from starloom.operators.sketches import distinct_counts
 
 
 def count_rows(df: DataFrame, name: str = "total") -> DataFrame:
@@ -38,9 +39,10 @@ def distinct_by(
 
 
 def profile(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
-    """Distinct values of many columns in one pass; a sketch when asked for."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(*[count(F.col(c)).alias(c) for c in columns])
+    """Distinct values of many columns in one pass; a sketch when asked for (see :mod:`starloom.operators.sketches`)."""
+    if approximate:
+        return df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in columns])
+    return distinct_counts(df, columns)
 
 
 def distinct_list(df: DataFrame, keys: Sequence[str], value: str, name: str, separator: str = ", ") -> DataFrame:

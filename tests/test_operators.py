@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import dedup, integrity, keys, lookup, maintain, match, registry, shape
+from starloom.operators import aggregates, dedup, integrity, keys, lookup, maintain, match, registry, shape, sketches
 from starloom.operators.consolidate import consolidate
 from starloom.operators.quality import QualityError, RuleSet, dimension_rules, require, summarize
 
@@ -306,3 +306,29 @@ def test_small_keys_move_nothing(spark):
     found = registry.lookup_many(fact, {"s": (F.col("k"), table)})
     assert found.filter("s = 1").count() == 1
     assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stacked_distinct_counts(spark):
+    rows_ = [(1, -0.0, "a", b"x", [1, None], None, None), (1, 0.0, "A", b"y", [1, None], None, None), (None, float("nan"), None, b"x", None, None, None),
+             (2, float("nan"), "a", None, [1], None, None)]
+    frame = spark.createDataFrame(rows_, "i int, d double, s string, b binary, l array<int>, n string, `x.y` int")
+    names = ["i", "d", "s", "b", "l", "n"]
+    found = aggregates.profile(frame, names)
+    assert tuple(found.first()) == (2, 2, 2, 2, 2, 0)
+    assert tuple(found.first()) == tuple(frame.agg(*[F.count_distinct(c) for c in names]).first())
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    assert tuple(aggregates.profile(frame.where("false"), names).first()) == (0,) * 6
+
+
+def test_sketches_merge(spark):
+    frame = spark.range(60_000).selectExpr("id % 7 AS part", "id % 20011 AS k", "CAST(id AS double) / 3 AS x", "IF(id % 2 = 0, concat('t', id % 90), NULL) AS t")
+    parts = sketches.sketch(frame, ["k", "x", "t"], ["part"])
+    assert parts.count() == 21
+    whole = {r["column"]: r for r in sketches.merged(parts, quantiles={"q": 0.25}).collect()}
+    again = {r["column"]: r for r in sketches.merged(sketches.merged(parts.withColumn("half", F.col("part") > 3), ["half"]), quantiles={"q": 0.25}).collect()}
+    for found in (whole, again):
+        assert abs(found["k"]["distinct"] - 20011) <= 4 * sketches.HLL_ERROR * 20011 and found["t"]["distinct"] == 45
+        assert abs(found["x"]["q"] / 20_000 - 0.25) <= 2 * sketches.KLL_ERROR and found["t"]["q"] is None
+        assert (found["t"]["rows"], found["t"]["nulls"], found["x"]["most"]) == (60_000, 30_000, 59_999 / 3)
+    empty = sketches.merged(sketches.sketch(frame.selectExpr("part", "CAST(NULL AS int) AS z"), ["z"], ["part"]), quantiles={"q": 0.5}).first()
+    assert (empty["rows"], empty["nulls"], empty["distinct"], empty["q"]) == (60_000, 60_000, 0, None)
