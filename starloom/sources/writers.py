@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.sources.files import Files
+
 # Write modes by their public name.
 MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
 
@@ -26,7 +28,8 @@ class LoadReport:
         return self.skipped or self.found == self.before + self.written
 
 
-def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with a counter of the rows that pass."""
     counter = Observation()
     return df.observe(counter, F.count(F.lit(1)).alias("rows")), counter
 
@@ -42,8 +45,8 @@ def save_parquet(
     if df.isEmpty():
         return LoadReport(path, 0, 0, skipped=True)
     spark = df.sparkSession
-    before = spark.read.parquet(path).count() if mode == "append" and _exists(spark, path) else 0
-    counted, counter = _observed(df)
+    before = spark.read.parquet(path).count() if mode == "append" and Files(spark).exists(path) else 0  # a target that can't be read is an error
+    counted, counter = observed(df)
     writer = counted.write.mode(MODES[mode])
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
@@ -53,27 +56,26 @@ def save_parquet(
     return LoadReport(path, counter.get["rows"], spark.read.parquet(path).count(), before)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - any unreadable target counts as absent
-        return False
-    return True
-
-
 def save_table(df: DataFrame, name: str, mode: str = "replace") -> LoadReport:
     """The same into a catalog table."""
     if df.isEmpty():
         return LoadReport(name, 0, 0, skipped=True)
     spark = df.sparkSession
     before = spark.table(name).count() if mode == "append" and spark.catalog.tableExists(name) else 0
-    counted, counter = _observed(df)
+    counted, counter = observed(df)
     counted.write.mode(MODES[mode]).saveAsTable(name)
     return LoadReport(name, counter.get["rows"], spark.table(name).count(), before)
 
 
 def swap_tables(spark: SparkSession, live: str, fresh: str, backup: str) -> None:
-    """M4: the live table becomes the backup, the fresh one becomes live."""
+    """M4: the live table becomes the backup, the fresh one becomes live.
+
+    A catalog has no swap of two names: a swap that stopped between its renames is completed by calling it again, and
+    if the fresh table is gone the backup becomes live again.  Where readers must never find the name absent, use :class:`starloom.sources.versions.VersionedTable`.
+    """
+    if not spark.catalog.tableExists(live) and not spark.catalog.tableExists(fresh) and spark.catalog.tableExists(backup):
+        spark.sql(f"ALTER TABLE {backup} RENAME TO {live}")
+        raise LookupError(f"there is no table {fresh}; {live} was restored from {backup}")
     if spark.catalog.tableExists(live):
         spark.sql(f"DROP TABLE IF EXISTS {backup}")
         spark.sql(f"ALTER TABLE {live} RENAME TO {backup}")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starloom.plans.job import Job, run_job
 from starloom.operators.quality import QualityError
 from starloom.sources import readers, writers
+from starloom.sources.versions import ConcurrentLoad, VersionedTable
 
 
 def write(path, text, encoding="utf-8"):
@@ -164,3 +165,94 @@ def test_job_template(spark, tmp_path):
     with pytest.raises(QualityError):
         run_job(spark, bad)
     assert spark.read.parquet(target).count() == 2
+
+
+class Stopped(Exception):
+    pass
+
+
+STEPS = ("_write", "_stage", "_commit")
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("mode", ["replace", "append"])
+def test_a_load_that_stops_leaves_a_whole_version(spark, tmp_path, monkeypatch, step, after, mode):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.load(spark.range(100))
+    real = getattr(VersionedTable, step)
+
+    def stop(self, *args):
+        if after:
+            real(self, *args)
+        raise Stopped
+
+    monkeypatch.setattr(VersionedTable, step, stop)
+    with pytest.raises(Stopped):
+        table.load(spark.range(1000, 1050), mode)
+    monkeypatch.undo()
+    switched = step == "_commit" and after
+    wanted = {100} if not switched else {50} if mode == "replace" else {150}
+    assert {table.read().count(), table.current().rows} == wanted and table.damaged() == []
+    assert bool(table.sweep()) == (not switched and (after or step != "_write"))
+    assert table.load(spark.range(7), "append").complete and table.read().count() == wanted.pop() + 7
+
+
+def test_versions_are_read_restored_and_released(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.load(spark.range(0)).skipped and table.versions() == []
+    assert table.load(spark.range(10), note="first").written == 10
+    assert table.load(spark.range(10, 15), "append").found == 15
+    table.load(spark.range(3), partition_by=None)
+    assert [v.rows for v in table.versions()] == [10, 15, 3] and table.versions()[0].note == "first"
+    assert table.read(2).count() == 15 and table.read().count() == 3
+    table.release(1)  # its data is part of version 2
+    assert table.read(2).count() == 15 and [v.number for v in table.versions()] == [2, 3]
+    table.restore(2)
+    assert table.read().count() == 15
+    with pytest.raises(ValueError):
+        table.release(4)
+    with pytest.raises(ValueError):
+        table.load(spark.range(1).withColumnRenamed("id", "other"), "append")
+    table.release(3)
+    table.release(2)
+    assert table.read().count() == 15 and table.sweep() == []
+
+
+def test_of_two_loads_at_once_one_is_told(spark, tmp_path, monkeypatch):
+    one, two = (VersionedTable(spark, str(tmp_path / "t")) for _ in range(2))
+    one.load(spark.range(1))
+    real = VersionedTable._stage
+
+    def raced(self, *args):
+        monkeypatch.undo()
+        two.load(spark.range(2), "append")
+        real(self, *args)
+
+    monkeypatch.setattr(VersionedTable, "_stage", raced)
+    with pytest.raises(ConcurrentLoad):
+        one.load(spark.range(4), "append")
+    assert one.read().count() == 3
+
+
+def test_an_unreadable_target_is_no_empty_one(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        writers.save_parquet(spark.range(5), str(tmp_path / "t"), "append")
+
+
+def test_a_swap_that_stopped_is_completed(spark):
+    for name in ("live_s", "fresh_s", "old_s"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    writers.save_table(spark.range(1), "old_s")  # the live table was renamed, the fresh one not yet
+    writers.save_table(spark.range(2), "fresh_s")
+    writers.swap_tables(spark, "live_s", "fresh_s", "old_s")
+    assert spark.table("live_s").count() == 2 and spark.table("old_s").count() == 1
+    spark.sql("DROP TABLE live_s")
+    with pytest.raises(LookupError):
+        writers.swap_tables(spark, "live_s", "fresh_s", "old_s")
+    assert spark.table("live_s").count() == 1
+    spark.sql("DROP TABLE live_s")
