@@ -30,7 +30,7 @@ BLOCK_WORDS = 1_000_000
 SEGMENT = 256
 _TABLE_BITS = 20
 
-RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_hit long"
 
 
 class WuManber:
@@ -168,26 +168,29 @@ def _search(block, last: bool, hits: str, found: str):
 
 
 def _summary(n_words: np.ndarray, spans: list[list[int]], items: list[set[str]]) -> dict[str, pa.Array]:
-    n_hit = []
+    n_hit, longest = [], []
     for flat in spans:
-        reach = total = 0
+        reach = total = begin = most = 0
         for a, b in sorted(zip(flat[::2], flat[1::2])):
             total += max(0, b - max(a, reach))
+            begin = begin if a <= reach else a
             reach = max(reach, b)
+            most = max(most, reach - begin)
         n_hit.append(total)
+        longest.append(most)
     digest = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
     return {
         "n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64()),
         "n_items": pa.array([len(x) for x in items], pa.int64()), "items_sha256": pa.array(digest, pa.string()),
-        "contaminated": pa.array([h > 0 for h in n_hit], pa.bool_()),
+        "contaminated": pa.array([h > 0 for h in n_hit], pa.bool_()), "longest_hit": pa.array(longest, pa.int64()),
     }
 
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` (with ``text``) and what of each text occurs in ``benchmark`` (``item_id``, ``text``).
 
-    Adds ``n_words``, ``n_hit`` (words inside an occurrence), ``n_items``, ``items_sha256`` and
-    ``contaminated``, replacing columns of these names.  Null and empty texts have no words; an
+    Adds ``n_words``, ``n_hit`` (words inside an occurrence), ``n_items``, ``items_sha256``,
+    ``contaminated`` and ``longest_hit`` (most words hit in a row), replacing columns of these names.  Null and empty texts have no words; an
     empty benchmark marks nothing; benchmark rows of the same id are one item, an id of null
     is the item ``null``; repeated documents are each marked.
     """

@@ -134,6 +134,13 @@ def test_decontamination_keeps_columns_of_any_name(spark, monkeypatch):
         assert [(r["n_hit"], r["contaminated"], r["_hits"], r["_Items"]) for r in told] == [(0, False, [0, 5], "x"), (30, True, [7], "y")]
 
 
+def test_longest_run_of_hit_words(spark):
+    docs = spark.createDataFrame([(1, "yes no yes yes maybe yes"), (2, "no"), (3, None), (4, "x a b c d y a b c d e")], "doc_id long, text string")
+    table = spark.createDataFrame([("q", "yes"), ("r", "a b c"), ("s", "c d e")], "item_id string, text string")
+    told = {r["doc_id"]: (r["n_hit"], r["longest_hit"]) for r in decontaminate.mark_contaminated(docs, table).collect()}
+    assert told == {1: (4, 2), 2: (0, 0), 3: (0, 0), 4: (8, 5)}
+
+
 def test_decontamination_of_and_by_nothing(docs, none, spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.mark_contaminated(docs, empty).where("contaminated").count() == 0
