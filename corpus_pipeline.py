@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from starloom.llm import decontaminate, language, ngram_join, pieces, pii
 from starloom.llm.batches import Scratch
 
-#: A text in which no language holds this share of the words is rejected.
-MIN_SHARE = 0.3
+#: Hits of benchmark items shorter than a window decide only where they are this share of a text's words.
+SHORT_ITEM_SHARE = 0.5
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -23,10 +23,11 @@ def _whole(docs: DataFrame) -> DataFrame:
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no language go: those without a letter, and those no learned language accounts for."""
+    """Documents of no language go, those without a letter; mixed ones stay, and all do where no language could be learned."""
     model = language.train(language.train_fold(docs.select("doc_id", "text", "lang")))
-    found = language.identify(_whole(docs), model)
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SHARE)).select("_row.*")
+    if not model.languages:
+        return docs
+    return language.identify(_whole(docs), model).where(F.col("lang_pred") != language.UNKNOWN).select("_row.*")
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +36,10 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents go that hold a whole window of benchmark words in a row, or consist of shorter items to ``SHORT_ITEM_SHARE``."""
     marked = decontaminate.mark_contaminated(_whole(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return marked.where("NOT contaminated").select("_row.*")
+    long, short = F.col("longest_hit") >= decontaminate.WINDOW, F.col("n_hit") >= SHORT_ITEM_SHARE * F.col("n_words")
+    return marked.where(~(F.col("contaminated") & (long | short))).select("_row.*")
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
