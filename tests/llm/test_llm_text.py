@@ -430,6 +430,20 @@ def test_pipeline(spark, tmp_path):
         assert docs.columns == frame.columns and docs.count() == 0
 
 
+def test_stages_keep_clean_documents(spark, tmp_path):
+    texts = ["der hund und die katze " * 9, "the dog and the cat " * 9, "le chien et le chat " * 9, "el perro y el gato " * 9]
+    rows = [(i, t, l, "s", 1) for i, (t, l) in enumerate(zip(texts, ["de", "en", "fr", "es"]))] * 5 + [(8, " ".join(texts), None, "s", 1), (9, "12 34", "en", "s", 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.identified(spark, frame, str(tmp_path)).collect()}
+    assert kept == {0, 1, 2, 3, 8}  # an even mix of all languages stays
+    unknown = frame.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang", "source", "n_chars")
+    assert corpus_pipeline.identified(spark, unknown, str(tmp_path)).count() == len(rows)
+    spark.createDataFrame([(1, "yes"), (2, " ".join(f"q{i}" for i in range(12)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    more = [(1, "oh yes it is", "en", "s", 1), (2, "Yes!", "en", "s", 1), (3, "see " + " ".join(f"q{i}" for i in range(1, 12)) + " x" * 90, "en", "s", 1), (4, "q1 q2 q3 and more", "en", "s", 1)]
+    clean = corpus_pipeline.uncontaminated(spark, spark.createDataFrame(more, frame.schema), str(tmp_path))
+    assert {r["doc_id"] for r in clean.collect()} == {1, 4}
+
+
 def test_scratch_is_removed(spark):
     with scratch(spark) as own:
         kept = own.keep(spark.range(3))
