@@ -1,14 +1,18 @@
 """Dedup, surrogate keys, unknown members, bridge maintenance."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from registered import load, query
+from registered import SQL, load, query
 from registered.joins import TARGETS, TARGETS_SQL
 from starloom.operators.dedup import best_per_pair, distinct_rows, latest_per_key, one_per_key
 from starloom.operators.keys import factorized, surrogate_key, with_unknown_member
 from starloom.operators.maintain import deactivate, insert_missing, promote
 from starloom.operators.match import match_fixed_targets
 from starloom.operators.shape import stack_rows
+from starloom.session import ensure_checkpoint_dir
+from starloom.sources.ranged import RangedTable
 
 
 @query("""
@@ -137,3 +141,39 @@ def soft_delete_update(spark, folder):
 def promote_semi(spark, folder):
     reviewed = load(spark, folder, "lineitem").filter("l_discount >= 0.1").select(F.col("l_partkey").alias("tema_sk"))
     return promote(part_bridge(spark, folder), reviewed)
+
+
+# --- the same changes on a stored bridge, part by part ----------------------------
+
+def stored_bridge(spark, folder):
+    table = RangedTable(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/bridge-{uuid.uuid4().hex}")
+    table.create(part_bridge(spark, folder), "tema_sk", ["tema_sk", "ods_sk"], 16)
+    return table
+
+
+@query(SQL["insert_if_absent"])
+def stored_insert_if_absent(spark, folder):
+    """M1 on stored parts."""
+    wanted = load(spark, folder, "lineitem").filter("l_quantity >= 49").select(
+        F.col("l_partkey").alias("tema_sk"), F.lit(3).alias("ods_sk"), F.lit("Manual").alias("tipo_associacao"),
+        F.lit(100.0).alias("nivel_confianca"), F.lit(True).alias("ativo"),
+    )
+    table = stored_bridge(spark, folder)
+    table.insert_missing(wanted)
+    return table.read()
+
+
+@query(SQL["soft_delete_update"])
+def stored_soft_delete(spark, folder):
+    """M2 on stored parts."""
+    table = stored_bridge(spark, folder)
+    table.deactivate((F.col("ods_sk") == 2) & (F.col("nivel_confianca") < 80), "reviewed")
+    return table.read()
+
+
+@query(SQL["promote_semi"])
+def stored_promote(spark, folder):
+    """M3 on stored parts."""
+    table = stored_bridge(spark, folder)
+    table.promote(load(spark, folder, "lineitem").filter("l_discount >= 0.1").select(F.col("l_partkey").alias("tema_sk")))
+    return table.read()

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +29,7 @@ class Version:
     number: int
     folders: dict[str, int]  # data folder: rows
     note: str = ""
+    extra: dict = field(default_factory=dict)  # what a kind of table keeps beside its folders
 
     @property
     def rows(self) -> int:
@@ -54,7 +55,7 @@ class VersionedTable:
 
     def _manifest(self, number: int) -> Version:
         held = json.loads(self.files.read(f"{self.path}/_versions/{number:010d}.json"))
-        return Version(number, held["folders"], held["note"])
+        return Version(number, held["folders"], held["note"], held["extra"])
 
     def current(self) -> Version | None:
         return next(reversed(self.versions()), None)
@@ -97,7 +98,8 @@ class VersionedTable:
 
     def restore(self, number: int) -> Version:
         """Make an old version the current one again, as a new version of the same data."""
-        return self._switch(self.current(), self._manifest(number).folders, f"restores {number}")
+        old = self._manifest(number)
+        return self._switch(self.current(), old.folders, f"restores {number}", old.extra)
 
     def _write(self, df: DataFrame, folder: str, partition_by: list[str] | None) -> int:
         counted, counter = observed(df)
@@ -105,12 +107,12 @@ class VersionedTable:
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.path}/data/{folder}")
         return counter.get["rows"]
 
-    def _switch(self, base: Version | None, folders: dict[str, int], note: str) -> Version:
+    def _switch(self, base: Version | None, folders: dict[str, int], note: str, extra: dict | None = None) -> Version:
         number = (base.number if base else 0) + 1
         staged = f"{self.path}/_versions/.{uuid.uuid4().hex}"
-        self._stage(staged, json.dumps({"folders": folders, "note": note}))
+        self._stage(staged, json.dumps({"folders": folders, "note": note, "extra": extra or {}}))
         self._commit(staged, f"{self.path}/_versions/{number:010d}.json")
-        return Version(number, folders, note)
+        return Version(number, folders, note, extra or {})
 
     def _stage(self, staged: str, manifest: str) -> None:
         self.files.write(staged, manifest)
@@ -131,8 +133,11 @@ class VersionedTable:
 
     def sweep(self) -> list[str]:
         """Remove what no version names: data of loads that stopped, staged manifests.  Not while another load runs."""
-        named = {f for v in self.versions() for f in v.folders}
-        odd = [f"{self.path}/data/{n}" for n in self.files.names(f"{self.path}/data") if n not in named]
+        named = {f for v in self.versions() for f in (*v.folders, *v.extra.get("log", ()))}
+        loads = {f.split("/")[0] for f in named}
+        odd = [f"{self.path}/data/{n}" for n in self.files.names(f"{self.path}/data") if n not in loads]
+        nested = {f.split("/")[0] for f in named if "/" in f}  # loads of several parts, some of them replaced since
+        odd += [f"{self.path}/data/{n}/{m}" for n in sorted(nested) for m in self.files.names(f"{self.path}/data/{n}") if "=" in m and f"{n}/{m}" not in named]
         odd += [f"{self.path}/_versions/{n}" for n in self.files.names(f"{self.path}/_versions") if n.startswith(".") and not n.endswith(".crc")]
         for path in odd:
             self.files.delete(path)

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.plans.job import Job, run_job
+from starloom.operators.maintain import deactivate, insert_missing, promote
 from starloom.operators.quality import QualityError
 from starloom.sources import readers, writers
+from starloom.sources.ranged import RangedTable
 from starloom.sources.versions import ConcurrentLoad, VersionedTable
 
 
@@ -256,3 +258,60 @@ def test_a_swap_that_stopped_is_completed(spark):
         writers.swap_tables(spark, "live_s", "fresh_s", "old_s")
     assert spark.table("live_s").count() == 1
     spark.sql("DROP TABLE live_s")
+
+
+def bridge_rows(spark):
+    return spark.range(1000).selectExpr(
+        "CAST(id AS int) AS tema_sk", "CAST(id % 3 AS int) AS ods_sk", "'Automática' AS tipo_associacao",
+        "CAST(60 + id % 40 AS double) AS nivel_confianca", "CAST(NULL AS string) AS observacao", "true AS ativo",
+    )
+
+
+def test_a_change_rewrites_touched_parts_only(spark, tmp_path, rows):
+    table = RangedTable(spark, str(tmp_path / "b"))
+    start = bridge_rows(spark)
+    table.create(start, "tema_sk", ["tema_sk", "ods_sk"], 8)
+    first = table.current()
+    assert len(first.folders) == 8 and rows(table.read().select(start.columns)) == rows(start) and table.log() is None
+    new = start.where("tema_sk IN (5, 6)").withColumn("ods_sk", F.lit(9)).unionByName(start.where("tema_sk = 900"))
+    table.insert_missing(new)
+    second = table.current()
+    assert len(set(first.folders) - set(second.folders)) == 1  # 900 was there: its part stays too
+    assert rows(table.read().select(start.columns)) == rows(insert_missing(start, new).select(start.columns))
+    told = table.log().collect()
+    assert {(r["version"], r["action"], r["before"], r["after"]["tema_sk"]) for r in told} == {(2, "insert", None, 5), (2, "insert", None, 6)}
+    weak = (F.col("tema_sk") > 990) & (F.col("nivel_confianca") < 95)
+    before = table.read()
+    table.deactivate(weak, "reviewed")
+    third = table.current()
+    assert len(set(second.folders) - set(third.folders)) == 1
+    assert rows(table.read()) == rows(deactivate(before, weak, "reviewed").select(before.columns))
+    reviewed = spark.createDataFrame([(30,), (31,), (500,), (None,), (12345,)], "tema_sk int")
+    before = table.read()
+    table.promote(reviewed)
+    assert rows(table.read()) == rows(promote(before, reviewed).select(before.columns))
+    assert rows(table.read(1).select(start.columns)) == rows(start)
+    last = table.current().number
+    table.promote(reviewed.where("tema_sk > 12000"))
+    assert table.current().number == last and table.damaged() == []
+    for old in (1, 2, 3):
+        table.release(old)
+    assert table.log().count() == len(told) + third.rows * 0 + table.log().where("action <> 'insert'").count()
+    assert table.sweep() == [] and table.read().count() == 1002
+
+
+def test_a_change_that_stops_leaves_the_old_parts(spark, tmp_path, monkeypatch):
+    table = RangedTable(spark, str(tmp_path / "b"))
+    table.create(bridge_rows(spark), "tema_sk", ["tema_sk", "ods_sk"], 4)
+    def stop(self, *args):
+        raise Stopped
+
+    for step in ("_write_parts", "_stage", "_commit"):
+        monkeypatch.setattr(RangedTable, step, stop)
+        with pytest.raises(Stopped):
+            table.deactivate(F.col("tema_sk") < 10, "x")
+        monkeypatch.undo()
+        assert table.current().number == 1 and table.read().where("NOT ativo").count() == 0 and table.damaged() == []
+    table.sweep()
+    table.deactivate(F.col("tema_sk") < 10, "x")
+    assert table.read().where("NOT ativo").count() == 10
