@@ -6,7 +6,8 @@ from registered import load, query
 from starloom.functions.text import public_or_private
 from starloom.operators.aggregates import distinct_by, distinct_list, top
 from starloom.operators.filters import at_maximum, in_subquery, without_unknown
-from starloom.operators.integrity import orphan_keys, reconcile
+from starloom.operators.fingerprints import differing_groups
+from starloom.operators.integrity import orphan_keys, orphan_rows, reconcile
 from starloom.operators.keys import surrogate_key, with_unknown_member
 from starloom.operators.lookup import (
     attach_bridge, backfill, enrich_by_name, enrich_unique, lookup_sk, lookup_sk_fallback, lookup_sk_priority,
@@ -359,3 +360,42 @@ def theme_fact_distinct(spark, folder):
         (F.col("p_partkey") + 1).alias("part_sk"), (F.col("s_suppkey") + 1).alias("supplier_sk"),
         (F.col("n_nationkey") + 1).alias("nation_sk"), day.scalar().alias("time_sk"),
     )
+
+
+CHANGED_SQL = """
+    changed AS (
+        SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_orderkey % 991 = 0 AND l_linenumber = 1 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity
+        FROM lineitem WHERE NOT (l_orderkey % 1009 = 0 AND l_linenumber = 2)
+        UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_orderkey % 1013 = 0
+    )
+"""
+
+
+@query(f"""
+    WITH {CHANGED_SQL}, original AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem),
+    differing AS (
+        SELECT DISTINCT l_orderkey FROM (
+            (SELECT * FROM original EXCEPT ALL SELECT * FROM changed) UNION ALL (SELECT * FROM changed EXCEPT ALL SELECT * FROM original)
+        )
+    )
+    SELECT l_orderkey, (SELECT count(*) FROM original o WHERE o.l_orderkey = d.l_orderkey) AS left_rows,
+           (SELECT count(*) FROM changed c WHERE c.l_orderkey = d.l_orderkey) AS right_rows
+    FROM differing d
+""")
+def orders_that_differ(spark, folder):
+    """The orders of which a changed copy of the lines has other rows, by fingerprints of key ranges."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
+    original = load(spark, folder, "lineitem").select(*columns)
+    more = F.when((F.col("l_orderkey") % 991 == 0) & (F.col("l_linenumber") == 1), F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    copy = original.withColumn("l_quantity", more).filter("NOT (l_orderkey % 1009 = 0 AND l_linenumber = 2)")
+    copy = copy.unionByName(original.filter("l_orderkey % 1013 = 0"))
+    return differing_groups(original, copy, "l_orderkey")
+
+
+@query("""
+    SELECT l.* FROM lineitem l ANTI JOIN (SELECT o_orderkey FROM orders WHERE o_orderkey % 500 <> 3) ON l_orderkey = o_orderkey
+""")
+def orphan_lines(spark, folder):
+    """Whole lines of orders that are missing, by a Bloom filter of the orphan keys in the scan."""
+    orders = load(spark, folder, "orders").filter("o_orderkey % 500 <> 3").select("o_orderkey")
+    return orphan_rows(load(spark, folder, "lineitem"), orders, "l_orderkey", "o_orderkey")

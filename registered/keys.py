@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from registered import SQL, load, query
 from registered.joins import TARGETS, TARGETS_SQL
 from starloom.operators.dedup import best_per_pair, distinct_rows, latest_per_key, one_per_key
-from starloom.operators.keys import factorized, surrogate_key, with_unknown_member
+from starloom.operators.keys import extend_keys, factorized, surrogate_key, with_unknown_member
 from starloom.operators.maintain import deactivate, insert_missing, promote
 from starloom.operators.match import match_fixed_targets
 from starloom.operators.shape import stack_rows
 from starloom.session import ensure_checkpoint_dir
 from starloom.sources.ranged import RangedTable
+from starloom.sources.versions import VersionedTable
 
 
 @query("""
@@ -177,3 +178,22 @@ def stored_promote(spark, folder):
     table = stored_bridge(spark, folder)
     table.promote(load(spark, folder, "lineitem").filter("l_discount >= 0.1").select(F.col("l_partkey").alias("tema_sk")))
     return table.read()
+
+
+@query("""
+    WITH first AS (SELECT p_brand, p_type, row_number() OVER (ORDER BY p_brand, p_type) AS kind_sk FROM (SELECT DISTINCT p_brand, p_type FROM part WHERE p_partkey % 3 = 0)),
+    second AS (
+        SELECT p_brand, p_type, (SELECT max(kind_sk) FROM first) + row_number() OVER (ORDER BY p_brand, p_type) AS kind_sk
+        FROM (SELECT DISTINCT p_brand, p_type FROM part EXCEPT SELECT p_brand, p_type FROM first)
+    )
+    SELECT * FROM first UNION ALL SELECT * FROM second
+""")
+def keys_of_two_lots(spark, folder):
+    """A third of the parts is loaded first, then all; keys of the first lot stay, the others come behind them."""
+    part = load(spark, folder, "part")
+    table = VersionedTable(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinds-{uuid.uuid4().hex}")
+    kind = ["p_brand", "p_type"]
+    empty = spark.createDataFrame([], "kind_sk bigint, p_brand string, p_type string")
+    table.load(extend_keys(empty, part.filter("p_partkey % 3 = 0"), "kind_sk", kind))
+    table.load(extend_keys(table.read(), part, "kind_sk", kind), "append")
+    return table.read()

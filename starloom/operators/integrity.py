@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.bloom import bloom, might_hold
+from starloom.session import stored
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their row count."""
@@ -41,8 +44,14 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
 
 
 def orphan_rows(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
-    """Whole fact rows without a member."""
-    return fact.join(dim.select(F.col(dim_key).alias(fact_key)), fact_key, "left_anti")
+    """Whole fact rows without a member; a null key has none.
+
+    Which keys are orphans is found on the keys alone.  A Bloom filter of them is then tested in the scan of the fact, so of its
+    wide rows only orphans and the filter's false positives move, to be joined exactly.
+    """
+    lost = stored(orphan_keys(fact, dim, fact_key, dim_key).select(fact_key))
+    near = fact.filter(F.col(fact_key).isNotNull() & might_hold(bloom(lost, fact_key), F.col(fact_key)))
+    return near.join(lost, fact_key, "left_semi").unionByName(fact.filter(F.col(fact_key).isNull())).select(*fact.columns)
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:

@@ -44,6 +44,22 @@ def surrogate_key(df: DataFrame, name: str, order: Sequence[Column | str]) -> Da
     return placed.select((offset + row + 1).alias(name), *df.columns)
 
 
+def extend_keys(known: DataFrame, rows: DataFrame, name: str, business: Sequence[str]) -> DataFrame:
+    """K1 for later loads: keys of the business keys in ``rows`` that ``known`` (``name``, business columns) lacks.
+
+    They are numbered behind the largest known key in their own order; what was assigned before is neither sorted nor
+    changed.  Equal business keys get one key, null counts as a value.  Append the result to ``known``
+    (:class:`starloom.sources.versions.VersionedTable` does it in one step).
+    """
+    same = F.lit(True)
+    new = rows.select(*business).distinct()
+    for c in business:
+        same = same & new[c].eqNullSafe(known[c])
+    unseen = new.join(known, same, "left_anti")
+    largest = known.agg(F.max(name)).scalar()
+    return surrogate_key(unseen, "_nth", business).select((F.col("_nth") + F.coalesce(largest, F.lit(0))).alias(name), *business)
+
+
 def small_surrogate_key(df: DataFrame, name: str, order: Sequence[Column | str]) -> DataFrame:
     """K1 for calendars and goals, whose size does not grow with the data."""
     columns = [F.col(o) if isinstance(o, str) else o for o in order]

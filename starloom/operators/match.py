@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.bloom import bloom, might_hold
 from starloom.session import stored
 
 SCORE_PRIMARY = 80.0
@@ -20,7 +21,6 @@ SCORE_SECONDARY = 60.0
 PIECE = 4
 CHUNK = 512
 HOT = 4096
-BITS = 1 << 20  # 128 KB in each task
 
 
 def match_fixed_targets(
@@ -58,19 +58,8 @@ def _grams(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{PIECE}}}))."), F.lit(1))
 
 
-def _bitmap(pieces: DataFrame) -> Column:
-    """``BITS`` bits of the hashes of ``_piece`` as one array of longs; a fuller one lets more through and never keeps a piece out."""
-    place = F.expr(f"pmod(xxhash64(_piece), {BITS})")
-    words = pieces.groupBy(F.shiftright(place, 6).alias("id")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(_piece), {BITS}) % 64 AS INT))")).alias("bits")
-    )
-    filled = pieces.sparkSession.range(BITS // 64).join(words, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("bits"))
-    listed = filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "bits"))), lambda x: x["bits"]).alias("bits"))
-    return listed.scalar()
-
-
 def _occurrences(texts: DataFrame, text_id: str, longest: int, widths: Sequence[int], known: Column) -> DataFrame:
-    """(text id, ``_piece``, ``_window``, ``_at``): positions of ``_text`` where a piece of the bitmap ``known`` begins.
+    """(text id, ``_piece``, ``_window``, ``_at``): positions of ``_text`` where a piece that the filter ``known`` lets through begins.
 
     A text is cut into chunks of at least the longest keyword, and a chunk into the ``PIECE`` characters from each
     position on; so arrays stay as short as a chunk and every step is linear in the text.  ``_window`` holds
@@ -90,9 +79,7 @@ def _occurrences(texts: DataFrame, text_id: str, longest: int, widths: Sequence[
     places = chunk.select(text_id, "core", "before", "after", F.posexplode_outer(_grams(padded)).alias("_in", "_gram"))
     narrow = F.array(*[F.substring("_gram", 1, w) for w in widths])
     pieces = places.withColumn("_piece", F.col("_gram") if list(widths) == [PIECE] else F.explode_outer(narrow))
-    place = F.pmod(F.xxhash64("_piece"), F.lit(BITS))
-    bit = F.get(known, F.shiftright(place, 6).cast("int"))
-    held = pieces.where(F.expr("_piece IS NOT NULL") & (F.call_function("getbit", bit, (place % 64).cast("int")) == 1))
+    held = pieces.where(F.col("_piece").isNotNull() & might_hold(known, F.col("_piece"), 1))
     begin = F.length("before") + F.col("_in")
     first = F.greatest(begin - longest, F.lit(0))
     return held.select(
@@ -124,7 +111,7 @@ def contains_pairs(
     own = F.when(size < PIECE, F.array("_word")).otherwise(_grams(F.col("_word")))
     filed = words.select(keyword_id, "_word", F.posexplode_outer(own).alias("_offset", "_piece"))
     counts = stored(
-        _occurrences(body, text_id, longest, widths, _bitmap(filed)).groupBy("_piece").agg(F.count("*").alias("_rows"))
+        _occurrences(body, text_id, longest, widths, bloom(filed, "_piece", 1)).groupBy("_piece").agg(F.count("*").alias("_rows"))
     )
     rarest = F.min(F.struct(F.coalesce("_rows", F.lit(0)).alias("_rows"), "_offset", "_piece")).alias("_r")
     index = stored(
@@ -133,7 +120,7 @@ def contains_pairs(
     )
     share = F.ceil(F.col("_rows") * HOT / counts.agg(F.sum("_rows")).scalar())
     hot = index.filter(share > 1).select("_piece", share.alias("_parts")).distinct()
-    found = _occurrences(body, text_id, longest, widths, _bitmap(index)).join(F.broadcast(hot), "_piece", "left")
+    found = _occurrences(body, text_id, longest, widths, bloom(index, "_piece", 1)).join(F.broadcast(hot), "_piece", "left")
     dealt = found.withColumn("_part", F.coalesce(F.pmod(F.xxhash64(text_id, "_at", "_window"), F.col("_parts")), F.lit(0)))
     copies = index.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), share - 1)))
     begin = F.col("_at") - F.col("_offset")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import aggregates, dedup, integrity, keys, lookup, maintain, match, registry, shape, sketches
+from starloom.operators import aggregates, bloom, dedup, fingerprints, integrity, keys, lookup, maintain, match, registry, shape, sketches
 from starloom.operators.consolidate import consolidate
 from starloom.operators.quality import QualityError, RuleSet, dimension_rules, require, summarize
 
@@ -332,3 +332,39 @@ def test_sketches_merge(spark):
         assert (found["t"]["rows"], found["t"]["nulls"], found["x"]["most"]) == (60_000, 30_000, 59_999 / 3)
     empty = sketches.merged(sketches.sketch(frame.selectExpr("part", "CAST(NULL AS int) AS z"), ["z"], ["part"]), quantiles={"q": 0.5}).first()
     assert (empty["rows"], empty["nulls"], empty["distinct"], empty["q"]) == (60_000, 60_000, 0, None)
+
+
+def test_orphan_rows_move_only_what_may_be_lost(no_broadcast, rows):
+    spark = no_broadcast
+    fact = spark.range(5000).selectExpr("IF(id % 50 = 0, NULL, id % 400) AS k", "id AS wide", "concat('x', id) AS _place")
+    dim = spark.range(400).where("id % 100 <> 7").selectExpr("id AS member")
+    found = integrity.orphan_rows(fact, dim, "k", "member")
+    assert rows(found) == rows(fact.join(dim, fact["k"] == dim["member"], "left_anti")) and found.columns == fact.columns
+    near = fact.filter(bloom.might_hold(bloom.bloom(dim, "member"), F.col("k")))
+    assert near.where("k % 100 <> 7").count() == fact.where("k % 100 <> 7").count() and near.where("k % 100 = 7").count() == 0
+    assert integrity.orphan_rows(fact, dim.where("false"), "k", "member").count() == 5000
+    assert integrity.orphan_rows(fact.where("false"), dim, "k", "member").count() == 0
+
+
+def test_differing_groups(spark, monkeypatch, rows):
+    data = [(i if i % 40 else None, i % 5, None if i % 3 else "t") for i in range(2000)] + [(-9, 1, "n"), (2**62, 1, "n"), (7, 1, "d"), (7, 1, "d")]
+    left = spark.createDataFrame(data, "k long, a int, b string")
+    assert fingerprints.differing_groups(left, left.select("b", "k", "a").repartition(5), "k").count() == 0
+    other = [r for r in data if r[0] != 500] + [(7, 1, "d"), (None, 1, "z"), (10**15, 0, None)]
+    other = [(k, a, "t" if (k, b) == (1001, None) else b) for k, a, b in other]
+    right = spark.createDataFrame(other, "k long, a int, b string")
+    count = lambda side, k: sum(r[0] == k for r in side)
+    want = sorted(((k, count(data, k), count(other, k)) for k in (None, 7, 500, 1001, 10**15)), key=repr)
+    assert rows(fingerprints.differing_groups(left, right, "k")) == want
+    monkeypatch.setattr(fingerprints, "RANGES", 1)
+    assert rows(fingerprints.differing_groups(left, right, "k")) == want
+    assert fingerprints.differing_groups(left.where("false"), left.where("false"), "k").count() == 0
+    assert rows(fingerprints.differing_groups(left.where("k = 7"), left.where("false"), "k")) == [(7, count(data, 7), 0)]
+
+
+def test_later_loads_keep_assigned_keys(spark, rows):
+    known = spark.createDataFrame([(1, "b", 1), (2, None, None), (5, "a", 2)], "sk long, x string, y int")
+    fresh = spark.createDataFrame([("a", 2, 0), ("a", 1, 0), (None, None, 0), (None, 3, 0), ("a", 1, 1)], "x string, y int, z int")
+    assert rows(keys.extend_keys(known, fresh, "sk", ["x", "y"])) == [(6, None, 3), (7, "a", 1)]
+    assert rows(keys.extend_keys(known.where("false"), fresh.where("y = 1"), "sk", ["x", "y"])) == [(1, "a", 1)]
+    assert keys.extend_keys(known, fresh.where("false"), "sk", ["x", "y"]).count() == 0
