@@ -9,8 +9,10 @@ from registered.warehouse import (
     UNKNOWN, author_dimensions, city_file, goal_bridge_of, institution_dimension_of, postdoc_file, professor_dimension_of,
     programme_dimension_of, theme_raw, themes_and_bridge,
 )
+from starloom.fixed_values import CATEGORY_DEFAULT, GOALS
 from starloom.operators.filters import active_only
 from starloom.operators.maintain import deactivate
+from starloom.operators.quality import dimension_rules
 from starloom.plans import dims, facts, reports
 
 # --- authorship with all four roles, programmes, keywords and acronyms -----------
@@ -130,6 +132,18 @@ def authorship_theme_all_roles(spark, folder):
     return roles_star(spark, folder)[0].drop("producao_tema_id")
 
 
+@query(f"""
+    WITH {ROLES_STAR_SQL}
+    SELECT upper(coalesce(p.nome, {UNKNOWN})) AS nome_programa, count(DISTINCT s.ods_sk) AS ods_cobertos,
+           array_to_string(list_sort(list(DISTINCT s.ods_sk)), ', ') AS lista_ods
+    FROM star_roles s LEFT JOIN programmes p USING (ppg_sk) WHERE s.ods_sk > 0 GROUP BY 1
+""")
+def goals_per_programme(spark, folder):
+    """R14 on real programmes; rows without one count for the unknown member."""
+    fact, bridge, programmes = roles_star(spark, folder)
+    return reports.goal_coverage_by_programme(fact, bridge, dims.dim_ods(spark), programmes)
+
+
 # --- the simplified theme fact ---------------------------------------------------
 
 TEMAS_SQL = f"""
@@ -200,6 +214,48 @@ def simplified_by_region(spark, folder):
     return reports.themes_by_region(fact, themes, places)
 
 
+@query(f"""
+    WITH {TEMAS_SQL}
+    SELECT des AS des_ies, CASE WHEN status IS NULL THEN {UNKNOWN} WHEN status = 'Particular' THEN 'PRIVADO' ELSE 'PÚBLICO' END AS categoria_administrativa,
+           temas.uf AS sigla_uf, count(DISTINCT tema_id) AS qtd_temas_ies
+    FROM temas JOIN themes USING (tema_sk) JOIN institutions USING (ies_sk) GROUP BY 1, 2, 3
+""")
+def simplified_by_institution(spark, folder):
+    """R10 on the built fact, all institutions."""
+    fact, themes, institutions, places = theme_star(spark, folder)
+    return reports.top_institutions(fact, themes, institutions, places, None)
+
+
+GOAL_LABELS_SQL = ", ".join(f"({number}, '{category or CATEGORY_DEFAULT}')" for number, _, _, category in GOALS)
+
+
+@query(f"""
+    WITH {BRIDGE_SQL}, labels(number, category) AS (VALUES {GOAL_LABELS_SQL})
+    SELECT category AS ods_categoria, count(*) AS total FROM labels WHERE number IN (SELECT ods_sk FROM bridge) GROUP BY 1
+""")
+def goals_in_use_by_category(spark, folder):
+    """B10 with its labels, R21: the goals that a theme is associated with."""
+    used = goal_bridge_of(spark, folder).select("ods_sk").distinct()
+    return reports.goals_by(dims.dim_ods(spark).join(used, "ods_sk", "left_semi"), "ods_categoria")
+
+
+@query(f"""
+    WITH {INSTITUTIONS_SQL},
+    dim AS (SELECT ies_sk, des FROM institutions UNION ALL SELECT 0, {UNKNOWN}),
+    failed AS (
+        SELECT 'sk_not_null' AS rule_name, 'ies_sk' AS column_name, 'ERROR' AS severity, count(*) FILTER (ies_sk IS NULL) AS n FROM dim
+        UNION ALL SELECT 'sk_unique', 'ies_sk', 'ERROR', count(*) - count(DISTINCT ies_sk) FROM dim
+        UNION ALL SELECT 'sk_range', 'ies_sk', 'ERROR', count(*) FILTER (ies_sk < 0) FROM dim
+        UNION ALL SELECT 'nome_not_null', 'des_ies', 'ERROR', count(*) FILTER (des IS NULL) FROM dim
+        UNION ALL SELECT 'nome_length', 'des_ies', 'WARNING', count(*) FILTER (length(des) < 3 OR length(des) > 255) FROM dim
+    )
+    SELECT rule_name, column_name, severity, n = 0 AS passed, CAST(n AS BIGINT) AS failed_count, (SELECT count(*) FROM dim) AS total_count FROM failed
+""")
+def institution_rules(spark, folder):
+    """V10 on the built dimension."""
+    return dimension_rules("ies").measure(institution_dimension_of(spark, folder)).drop("position", "message")
+
+
 # --- the bridge after a soft delete ----------------------------------------------
 
 @query(f"""
