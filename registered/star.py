@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from registered import load, query
+from registered import SQL, load, query
 from registered.expressions import order_calendar
 from registered.warehouse import (
     AUTHORS_SQL, BRIDGE_SQL, INSTITUTIONS_SQL, PLACES_SQL, PROFESSORS_SQL, PROGRAMMES_SQL, RAW_THEMES_SQL, UF_SQL,
@@ -14,6 +14,7 @@ from starloom.operators.filters import active_only
 from starloom.operators.maintain import deactivate
 from starloom.operators.quality import dimension_rules
 from starloom.plans import dims, facts, reports
+from starloom.plans.factored import ThemeFactors
 
 # --- authorship with all four roles, programmes, keywords and acronyms -----------
 
@@ -226,6 +227,40 @@ def simplified_by_institution(spark, folder):
     return reports.top_institutions(fact, themes, institutions, places, None)
 
 
+# the same reports without the pairs
+
+
+def theme_factors(spark, folder):
+    themes = theme_raw(spark, folder)
+    return ThemeFactors.of(
+        themes, dims.dim_tema(themes), institution_dimension_of(spark, folder), dims.dim_localidade(spark, city_file(spark, folder))
+    )
+
+
+@query(SQL["simplified_by_state"])
+def factored_by_state(spark, folder):
+    """R7 on the factors."""
+    return theme_factors(spark, folder).by_state()
+
+
+@query(SQL["simplified_by_category"])
+def factored_by_category(spark, folder):
+    """R8 on the factors."""
+    return theme_factors(spark, folder).by_category()
+
+
+@query(SQL["simplified_by_region"])
+def factored_by_region(spark, folder):
+    """R9 on the factors."""
+    return theme_factors(spark, folder).by_region()
+
+
+@query(SQL["simplified_by_institution"])
+def factored_by_institution(spark, folder):
+    """R10 on the factors, all institutions."""
+    return theme_factors(spark, folder).by_institution(None)
+
+
 GOAL_LABELS_SQL = ", ".join(f"({number}, '{category or CATEGORY_DEFAULT}')" for number, _, _, category in GOALS)
 
 

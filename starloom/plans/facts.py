@@ -17,11 +17,9 @@ from starloom.operators.registry import lookup_many
 from starloom.operators.shape import (
     first_filled, light_name, present, rename_all, resolve_aliases, snake_name, standard_sk, with_defaults,
 )
+from starloom.plans.factored import ThemeFactors
 from starloom.schemas import conform
 
-# themes of a state that meet its institutions in one part when pairs are formed
-PART_THEMES = 4096
-
 
 def _with_row_id(fact: DataFrame, name: str, how: str | None) -> DataFrame:
     """K4: 'dense' ids 1..n in content order, 'unique' ids without any shuffle, or none."""
@@ -234,24 +232,10 @@ def fact_temas(
 ) -> DataFrame:
     """Presence of a theme at each institution of its state.
 
-    The pairs are the rows of this fact.  Both sides are cut to distinct keys
-    first, and a state is split by its number of themes, so that the largest one
-    does not form all its pairs in a single task.
+    The pairs are the rows of this fact; reports that only count them read the factors.
     """
-    listed = raw_tema.select("tema_id", "tema_nome", state_code("uf").alias("_uf")).distinct()
-    named = dim_tema.filter("tema_sk > 0").select("tema_sk", "tema_id", "tema_nome")
-    themes = listed.join(named, ["tema_id", "tema_nome"]).select("tema_sk", "_uf").distinct()
-    places = dim_localidade.filter("nivel = 'UF'").groupBy(F.col("sigla_uf").alias("_uf")).agg(
-        F.min("localidade_sk").alias("localidade_sk")
-    )
-    members = dim_ies.filter("ies_sk > 0").select("ies_sk", F.col("sg_uf").alias("_uf")).join(places, "_uf")
-    sizes = themes.groupBy("_uf").agg(F.ceil(F.count("*") / PART_THEMES).cast("int").alias("_parts"))
-    part = F.pmod(F.xxhash64("tema_sk"), F.col("_parts")).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    pairs = ThemeFactors.of(raw_tema, dim_tema, dim_ies, dim_localidade).pairs()
     day = dim_tempo.filter(F.col("ano") == year).agg(F.min("tempo_sk").alias("tempo_sk"))
-    pairs = themes.join(sizes, "_uf").withColumn("_part", part).join(
-        members.join(sizes, "_uf").withColumn("_part", copies), ["_uf", "_part"]
-    )
     # the key of the year is one value: a scalar subquery, no join
     presence = {c: F.lit(1) for c in ("presente_na_uf", "presente_na_categoria", "presente_na_ies", "presente_na_regiao")}
     return conform(pairs.withColumns({"tempo_sk": day.scalar(), **presence, "qtd_registros": F.lit(1)}), "fact_temas")

@@ -10,6 +10,7 @@ from starloom.operators.integrity import orphan_keys
 from starloom.operators.quality import dimension_rules
 from starloom.operators.shape import with_natural_id
 from starloom.plans import dims, facts, raw, reports
+from starloom.plans.factored import ThemeFactors
 from starloom.schemas import TABLES, empty_table
 from starloom.sources import readers
 
@@ -313,7 +314,7 @@ def test_bridge_and_goal_reports(spark, dim_tema, rows):
     assert tuple(reports.goal_coverage_by_programme(fact, bridge, goals, programme).first()) == ("DIREITO", 3, "3, 6, 14")
 
 
-def test_simplified_theme_fact_and_reports(spark, themes, dim_tema):
+def test_simplified_theme_fact_and_reports(spark, themes, dim_tema, rows, tmp_path):
     dim_ies = spark.createDataFrame(
         [(0, "XX", UNKNOWN, UNKNOWN), (1, "SP", "Univ A", "Particular"), (2, "SP", "Univ B", "Federal"), (3, "RJ", "Univ C", "Federal")],
         "ies_sk int, sg_uf string, des_ies string, des_status_juridico string",
@@ -331,6 +332,17 @@ def test_simplified_theme_fact_and_reports(spark, themes, dim_tema):
     assert by_category == {"PRIVADO": 2, "PÚBLICO": 2}
     assert reports.themes_by_region(fact, dim_tema, places).first()["regiao"] == "SUDESTE"
     assert [r["des_ies"] for r in reports.top_institutions(fact, dim_tema, dim_ies, places).collect()] == ["Univ A", "Univ B"]
+    # the same counts from the factors, also from stored ones, and no pairs on the way
+    factors = ThemeFactors.of(themes, dim_tema, dim_ies, places)
+    factors.save(str(tmp_path / "factors"))
+    for held in (factors, ThemeFactors.open(spark, str(tmp_path / "factors"))):
+        assert rows(held.by_state()) == rows(reports.themes_by_state(fact, dim_tema, places))
+        assert rows(held.by_category()) == rows(reports.themes_by_category(fact, dim_tema, dim_ies))
+        assert rows(held.by_region()) == rows(reports.themes_by_region(fact, dim_tema, places))
+        assert rows(held.by_institution()) == rows(reports.top_institutions(fact, dim_tema, dim_ies, places))
+        assert rows(held.pairs().select("tema_sk", "ies_sk", "localidade_sk")) == rows(fact.select("tema_sk", "ies_sk", "localidade_sk"))
+    with pytest.raises(ValueError, match="members"):
+        ThemeFactors.of(themes, dim_tema, dim_ies.limit(0), places).save(str(tmp_path / "none"))
 
 
 def test_raw_reports_agree_with_the_pairs(spark, rows):
