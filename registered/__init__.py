@@ -32,4 +32,4 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from registered import aggregates, expressions, joins, keys, quality, star, warehouse  # noqa: F401
+    from registered import aggregates, expressions, joins, keys, landed, quality, star, warehouse  # noqa: F401

@@ -18,6 +18,7 @@ from starloom.operators.shape import (
     select_renamed, snake_name, stack_rows, with_lineage,
 )
 from starloom.session import stored
+from starloom.sources.variants import found_types, page_records, typed
 
 # Number and upper-case columns and leading columns of the professor files.
 PROFESSOR_NUMBERS = [
@@ -187,6 +188,38 @@ def raw_ies(records: DataFrame) -> DataFrame:
     return apply_types(blanks_to_null(drop_empty(rename_all(records, feed_name))), FEED_TYPES)
 
 
+def raw_ies_pages(pages: DataFrame, text: str) -> DataFrame:
+    """B5 from landed pages whose fields are not known: they are found by one aggregate over all records.
+
+    Numbers that their column can't hold are in ``_desvios`` instead of lost.
+    """
+    records = page_records(pages, text)
+    types = {name: FEED_TYPES.get(feed_name(name), found) for name, found in found_types(records).items()}
+    return blanks_to_null(rename_all(typed(records, types).dropna("all"), feed_name))
+
+
+def raw_ies_catalog(pages: DataFrame, text: str, rank: str, year: str) -> DataFrame:
+    """B6 from one table of landed pages: ``rank`` orders the resources, ``year`` is the one that a resource's name mentions.
+
+    Which spelling of a column a resource uses is an aggregate over its records, so any number of resources is one
+    scan and one plan.  All columns exist; what types don't hold is in ``_desvios``.
+    """
+    records = page_records(pages, text, [rank, year])
+    members = F.try_variant_get("registro", "$", "map<string,variant>")
+    # position of the first spelling that any record of the resource has
+    used = records.select(rank, members.alias("_m")).groupBy(rank).agg(*[
+        F.min(F.coalesce(*[F.when(F.map_contains_key("_m", s), i + 1) for i, s in enumerate(spellings)])).alias(f"_{target}")
+        for target, spellings in CATALOG_COLUMNS.items()
+    ])
+    used = used.filter(F.coalesce(*[f"_{t}" for t in CATALOG_COLUMNS]).isNotNull()).withColumnRenamed(rank, "_rank")
+    keys = {t: F.element_at(F.array(*map(F.lit, s)), F.col(f"_{t}")) for t, s in CATALOG_COLUMNS.items()}
+    rows = typed(
+        records.join(used, F.col(rank) == F.col("_rank")), {t: CATALOG_TYPES.get(t, "string") for t in CATALOG_COLUMNS},
+        [F.col(rank).alias("_ordem"), F.col(year).cast("int").alias("ano_referencia")], keys=keys, report_new=False,
+    )
+    return with_lineage(one_per_key(rows, CATALOG_KEY, ["_ordem"]).drop("_ordem"), "catalog")
+
+
 def raw_ies_api(resources: Sequence[tuple[DataFrame, int | None]]) -> DataFrame:
     """Institutions of several catalogue resources, one row per institution.
 

@@ -97,6 +97,22 @@ def test_raw_ies_and_catalog(spark, rows):
     assert rows(got.select("nm_entidade_ensino", "cd_entidade_capes", "ano_referencia", "sg_uf_entidade_ensino")) == [
         ("A", 1, 2021, None), ("B", 2, 2022, "RJ"),
     ]
+    # the same from landed pages, whatever their fields
+    def page(df):
+        return df.select(F.to_json(F.struct(F.lit(True).alias("success"), F.struct(F.collect_list(F.struct("*")).alias("records")).alias("result"))).alias("p"))
+
+    feed = raw.raw_ies_pages(page(df), "p")
+    assert rows(feed.select(*out.columns)) == rows(out)
+    assert [tuple(d) for d in feed.first()["_desvios"]] == [("AN_BASE", "STRING", "x")]
+    assert feed.columns == [*sorted(out.columns, key=["an_base", "cod_entidade_capes", "des_ies", "_id_original"].index), "_desvios"]
+    pages = None
+    for rank, (frame, year) in enumerate([(first, 2021), (other, 2021), (second, None)]):
+        one = page(frame).select(F.lit(rank).alias("n"), F.lit(year).cast("int").alias("ano"), "p")
+        pages = one if pages is None else pages.unionAll(one)
+    listed = raw.raw_ies_catalog(pages, "p", "n", "ano")
+    assert rows(listed.select("nm_entidade_ensino", "cd_entidade_capes", "ano_referencia", "sg_uf_entidade_ensino")) == [
+        ("A", 1, 2021, None), ("B", 2, None, "RJ"),
+    ]
 
 
 def test_dim_tempo(spark):

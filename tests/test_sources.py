@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom.plans.job import Job, run_job
 from starloom.operators.maintain import deactivate, insert_missing, promote
 from starloom.operators.quality import QualityError
-from starloom.sources import readers, writers
+from starloom.sources import readers, variants, writers
 from starloom.sources.ranged import RangedTable
 from starloom.sources.versions import ConcurrentLoad, VersionedTable
 
@@ -109,6 +109,45 @@ def test_record_pages(spark, tmp_path, rows):
     assert rows(readers.record_pages(spark, str(tmp_path))) == [(1, "x"), (2, None)]
 
 
+def test_variant_fields_and_deviations(spark, rows):
+    texts = [
+        '{"a":1,"b":"x","c":null,"d":1.5}', '{"a":"7.0","e":[1],"b":2}', "bad{", None, "[1]", '{"a":"n/a","a b":1}',
+        '{"a":99999999999999999999,"b":{"q":1}}', '{"a":true,"b":" "}', '{"a":9007199254740993}', '{"a":2.5}', '{"a":""}', '{}',
+    ]
+    records = variants.parsed(spark.createDataFrame(list(enumerate(texts)), "id int, t string"), "t")
+    assert variants.found_types(records) == {"a": "string", "a b": "bigint", "b": "string", "d": "double", "e": "string"}
+    out = variants.typed(records, {"a": "bigint", "b": "string", "d": "double", "absent": "boolean"}, ["id"])
+    got = {r["id"]: (r["a"], r["b"], r["d"], r["absent"], [tuple(d) for d in r["_desvios"] or []]) for r in out.collect()}
+    assert got == {
+        0: (1, "x", 1.5, None, []), 1: (7, "2", None, None, [("e", "ARRAY", "[1]")]), 2: (None, None, None, None, [("", "ILEGIVEL", None)]),
+        3: (None, None, None, None, [("", "ILEGIVEL", None)]), 4: (None, None, None, None, [("", "ARRAY", "[1]")]),
+        5: (None, None, None, None, [("a", "STRING", "n/a"), ("a b", "BIGINT", "1")]),
+        6: (None, '{"q":1}', None, None, [("a", "DECIMAL", "99999999999999999999"), ("b", "OBJECT", '{"q":1}')]),
+        7: (None, " ", None, None, [("a", "BOOLEAN", "true")]), 8: (9007199254740993, None, None, None, []),
+        9: (None, None, None, None, [("a", "DECIMAL", "2.5")]), 10: (None, None, None, None, []), 11: (None, None, None, None, []),
+    }
+    assert ("a", "DECIMAL", 2) in rows(variants.deviations(out))
+    flags = variants.parsed(spark.createDataFrame([('{"f": true}',), ('{"f": 1}',), ('{"f": "false"}',)], "t string"), "t")
+    assert [(r["f"], bool(r["_desvios"])) for r in variants.typed(flags, {"f": "boolean"}).collect()] == [(True, False), (None, True), (False, False)]
+    # a text is parsed once, however many fields are read
+    plan = variants.typed(records, {"a": "bigint", "b": "string"}, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+    wide = spark.range(variants.MAX_FIELDS + 1).selectExpr("concat('{\"k', id, '\": 1}') AS t")
+    with pytest.raises(ValueError, match="fields"):
+        variants.found_types(variants.parsed(wide, "t"))
+
+
+def test_variant_pages(spark, rows):
+    pages = spark.createDataFrame([
+        (1, '{"success":true,"result":{"records":[{"a":1},{"a":2}]}}'), (2, '{"success":false,"result":{"records":[{"a":3}]}}'),
+        (3, '{"success":true,"result":{"records":{"a":4}}}'), (4, '{"success":true,"result":{"records":[]}}'), (5, None), (6, "x"), (7, "{}"),
+    ], "id int, t string")
+    found = variants.page_records(pages, "t", ["id"])
+    assert rows(found.selectExpr("id", "CAST(registro AS STRING) AS r")) == [(1, '{"a":1}'), (1, '{"a":2}')]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    assert variants.found_types(variants.page_records(pages.filter("id > 4"), "t")) == {}
+
+
 def test_catalog(spark, tmp_path, rows):
     def resource(i, name, active):
         return {"id": i, "name": name, "datastore_active": active}
