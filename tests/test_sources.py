@@ -5,10 +5,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.plans import raw
 from starloom.plans.job import Job, run_job
 from starloom.operators.maintain import deactivate, insert_missing, promote
 from starloom.operators.quality import QualityError
 from starloom.sources import readers, variants, writers
+from starloom.sources.ledger import LedgerTable, one_parquet
 from starloom.sources.ranged import RangedTable
 from starloom.sources.versions import ConcurrentLoad, VersionedTable
 
@@ -354,3 +356,71 @@ def test_a_change_that_stops_leaves_the_old_parts(spark, tmp_path, monkeypatch):
     table.sweep()
     table.deactivate(F.col("tema_sk") < 10, "x")
     assert table.read().where("NOT ativo").count() == 10
+
+
+def test_file_ledger(spark, tmp_path, rows):
+    source = tmp_path / "source"
+    source.mkdir()
+    head = "AN_BASE;ID_PESSOA;CD_PROGRAMA_IES;NM_DOCENTE\n"
+    write(source / "d 1.csv", head + "2021;1;P;Zé\n2021;1;P;Ana\n2021;2;P;Rui\n", "latin-1")
+    write(source / "d-2.csv", head + "2021;3;P;Eva\n", "latin-1")
+    write(source / "notes.txt", "no rows of ours")
+    table = LedgerTable(spark, str(tmp_path / "held"))
+
+    def names(report):
+        return [[p.rsplit("/", 1)[1] for p in found] for found in (report.new, report.changed, report.vanished)]
+
+    def same_as_full():
+        wanted = ["id_pessoa", "ano_base", "nm_docente"]
+        full = raw.raw_docente(readers.csv_files(spark, [str(p) for p in source.glob("*.csv")]))
+        held = raw.raw_docente(table.read())
+        assert rows(held.select(*wanted)) == rows(full.select(*wanted)) and set(held.columns) == set(full.columns)
+
+    first = table.update(str(source), "*.csv")
+    assert names(first) == [["d 1.csv", "d-2.csv"], [], []] and (first.rows, first.unchanged, first.new_columns) == (4, 0, {})
+    same_as_full()
+    # nothing new: no version
+    again = table.update(str(source), "*.csv")
+    assert names(again) == [[], [], []] and (again.unchanged, again.rows, table.current().number) == (2, 4, 1)
+    # a second year with a further column, a changed file; the untouched one keeps its folder
+    kept = next(e["folder"] for p, e in table.files_held().items() if p.endswith("d 1.csv"))
+    write(source / "d-2.csv", head + "2021;3;P;Eva Maria\n2021;4;P;Lia\n", "latin-1")
+    write(source / "d-3.csv", "ID_PESSOA;AN_BASE;CD_PROGRAMA_IES;NM_DOCENTE;SG_UF_PROGRAMA\n1;2022;P;Ana;sp\n", "latin-1")
+    second = table.update(str(source), "*.csv")
+    assert names(second) == [["d-3.csv"], ["d-2.csv"], []] and (second.unchanged, second.rows) == (1, 6)
+    assert list(second.new_columns.values()) == [["SG_UF_PROGRAMA"]]
+    assert kept in table.current().folders and table.damaged() == []
+    same_as_full()
+    # a file that is gone takes its rows along, unless told otherwise; old versions stay readable
+    (source / "d 1.csv").rename(tmp_path / "away.csv")
+    write(source / "d-4.csv", head)
+    stay = LedgerTable(spark, table.path).update(str(source), "*.csv", vanished="keep")
+    assert names(stay) == [["d-4.csv"], [], ["d 1.csv"]] and stay.rows == 6
+    third = table.update(str(source), "*.csv")
+    assert names(third) == [[], [], ["d 1.csv"]] and third.rows == 3
+    assert table.read(2).count() == 6 and table.read().count() == 3
+    same_as_full()
+    write(source / "d-4.csv", "")
+    assert names(table.update(str(source), "*.csv")) == [[], [], ["d-4.csv"]]
+    for number in range(1, table.current().number):
+        table.release(number)
+    assert table.sweep() == [] and table.read().count() == 3
+    with pytest.raises(ValueError):
+        table.update(str(source), vanished="maybe")
+
+
+def test_file_ledger_of_parquet_stops_whole(spark, tmp_path, rows, monkeypatch):
+    source = str(tmp_path / "source")
+    spark.range(3).selectExpr("id", "id AS a").coalesce(1).write.parquet(source)
+    table = LedgerTable(spark, str(tmp_path / "held"))
+    assert table.update(source, "*.parquet", one_parquet).rows == 3
+    spark.range(3, 5).selectExpr("id", "'x' AS b").coalesce(1).write.mode("append").parquet(source)
+    with monkeypatch.context() as stopped:
+        stopped.setattr(LedgerTable, "_commit", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError, match="stopped"):
+            table.update(source, "*.parquet", one_parquet)
+    assert table.read().count() == 3 and len(table.files_held()) == 1
+    report = table.update(source, "*.parquet", one_parquet)
+    assert report.rows == 5 and list(report.new_columns.values()) == [["b"]]
+    assert rows(table.read().select("id", "a", "b")) == [(0, 0, None), (1, 1, None), (2, 2, None), (3, None, "x"), (4, None, "x")]
+    assert table.sweep() and table.read().count() == 5
