@@ -6,13 +6,15 @@ from pyspark.sql import functions as F
 
 from registered import SQL, load, query
 from registered.joins import TARGETS, TARGETS_SQL
-from starloom.operators.dedup import best_per_pair, distinct_rows, latest_per_key, one_per_key
+from starloom.fixed_values import POSITION
+from starloom.operators.dedup import best_per_pair, distinct_rows, input_order, latest_per_key, one_per_key, without_position
 from starloom.operators.keys import extend_keys, factorized, surrogate_key, with_unknown_member
 from starloom.operators.maintain import deactivate, insert_missing, promote
 from starloom.operators.match import match_fixed_targets
 from starloom.operators.shape import stack_rows
 from starloom.session import ensure_checkpoint_dir
 from starloom.sources.ranged import RangedTable
+from starloom.sources.readers import numbered_parquet
 from starloom.sources.versions import VersionedTable
 
 
@@ -40,6 +42,25 @@ def first_last_per_key(spark, folder):
     return stack_rows([first, last]).drop("ts")
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, which FROM (
+        SELECT *, 'last' AS which, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY place DESC) AS n
+        FROM (SELECT *, row_number() OVER () AS place FROM lineitem)
+        UNION ALL
+        SELECT *, 'first', row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY place)
+        FROM (SELECT *, row_number() OVER () AS place FROM lineitem)
+    ) WHERE n = 1
+""")
+def first_last_in_file_order(spark, folder):
+    """D3, D4 by the position in the file."""
+    lines = numbered_parquet(spark, f"{folder}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", *POSITION
+    )
+    keys = ["l_orderkey", "l_linenumber"]
+    ends = [one_per_key(lines, keys, input_order(lines, last)).withColumn("which", F.lit(which)) for which, last in (("first", False), ("last", True))]
+    return without_position(stack_rows(ends))
+
+
 @query("SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber, l_tax FROM lineitem")
 def distinct_line_kinds(spark, folder):
     return distinct_rows(load(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber", "l_tax"))

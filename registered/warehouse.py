@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from registered import load, query
 from registered.expressions import order_calendar
-from starloom.fixed_values import GOAL_DESCRIPTORS, GOALS, STATES
+from starloom.fixed_values import GOAL_DESCRIPTORS, GOALS, POSITION, STATES
 from starloom.plans import dims, facts, raw, reports
+from starloom.sources.readers import numbered_parquet
 
 UNKNOWN = "'NÃO INFORMADO'"
 
@@ -640,9 +641,10 @@ def programme_grades(spark, folder):
     return grades.withColumn("nota_programa", F.col("nota_programa").cast("double"))
 
 
-def professor_files(spark, folder):
-    """The CSV of the professors: one row per order, the person is the customer."""
-    rows = load(spark, folder, "orders").join(load(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+def professor_files(spark, folder, orders=None):
+    """The CSV of the professors: one row per order, the person is the customer; numbered orders keep their position."""
+    orders = load(spark, folder, "orders") if orders is None else orders
+    rows = orders.join(load(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return rows.select(
         F.year("o_orderdate").cast("string").alias("AN_BASE"), F.concat(F.lit(" "), "o_custkey").alias("ID_PESSOA"),
         F.col("c_name").alias("NM_DOCENTE"), F.lit("101").alias("CD_PROGRAMA_IES"),
@@ -650,7 +652,7 @@ def professor_files(spark, folder):
         F.when(F.col("c_acctbal") > 0, "Sim").otherwise("Não").alias("IN_DOUTOR"),
         F.when(F.col("c_mktsegment") == "BUILDING", "1A").alias("CD_CAT_BOLSA_PRODUTIVIDADE"),
         F.when(F.col("o_orderstatus") == "F", "1999").otherwise("NA").alias("AN_TITULACAO"),
-        F.lit("file.csv").alias("fonte_arquivo"),
+        F.lit("file.csv").alias("fonte_arquivo"), *[c for c in POSITION if c in orders.columns],
     )
 
 
@@ -682,6 +684,19 @@ def raw_professor_table(spark, folder):
     )
 
 
+@query("""
+    SELECT o_custkey AS id_pessoa, year(o_orderdate) AS ano_base, CAST(o_orderkey AS VARCHAR) AS nr_documento_docente, upper(o_orderpriority) AS tp_documento_docente
+    FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY place DESC) AS n
+        FROM (SELECT *, row_number() OVER () AS place FROM orders)
+    ) WHERE n = 1 AND o_custkey IN (SELECT c_custkey FROM customer)
+""")
+def raw_professors_by_position(spark, folder):
+    """B1 by file position: the last row of a person and year in the file stays."""
+    orders = numbered_parquet(spark, f"{folder}/orders.parquet")
+    return raw.raw_docente(professor_files(spark, folder, orders)).select("id_pessoa", "ano_base", "nr_documento_docente", "tp_documento_docente")
+
+
 def grant_file(spark, folder):
     return load(spark, folder, "lineitem").select(
         F.concat("l_orderkey", F.lit("")).alias("_c0"),
