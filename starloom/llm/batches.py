@@ -161,11 +161,14 @@ class Scratch:
         self.folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
         self.paths: list[str] = []
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` and read it back: lineage ends here, and a lost executor costs nothing."""
+    def keep(self, df: DataFrame, *folders: str) -> DataFrame:
+        """Write ``df`` and read it back: lineage ends here, and a lost executor costs nothing.
+
+        A later filter on the columns ``folders`` reads only the folders that it names.
+        """
         path = f"{self.folder}/{len(self.paths)}"
         self.paths.append(path)
-        df.write.parquet(path)
+        df.write.partitionBy(*folders).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self, df: DataFrame | None = None) -> None:

@@ -6,8 +6,9 @@ are not; level 2 the listed keys that level 1 takes for those; and so on until n
 A key is looked up level by level; the first level that does not know it decides.
 
 The universe are the distinct keys of the corpus: for each url the host's suffixes joined with the
-path prefixes that rules have, and the host itself.  Levels are built by Spark aggregates; each is a broadcast
-of at most ``bloom.MAX_BITS`` bits, and urls are judged without any join or shuffle.
+path prefixes that rules have, and the host itself.  Levels are built by Spark aggregates; each has at most ``bloom.MAX_BITS``
+bits, and urls are judged without any join or shuffle.  A list that needs more is cut into shards by a hash, each with a cascade
+of its own, so any number of listed keys is answered exactly.  What a task holds is some two bytes a listed key.
 """
 
 from __future__ import annotations
@@ -42,6 +43,23 @@ class Cascade:
         return out
 
 
+@dataclass
+class Shards:
+    """A cascade for each shard of the keys."""
+
+    cascades: list[Cascade]
+
+    def listed(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """Whether each key of the universe is listed."""
+        shard = np.mod(h1 ^ h2, len(self.cascades))
+        out = np.zeros(len(h1), bool)
+        for i, cascade in enumerate(self.cascades):
+            own = np.flatnonzero(shard == i)
+            if len(own):
+                out[own] = cascade.listed(h1[own], h2[own])
+        return out
+
+
 def _passing(keys: DataFrame, words: np.ndarray, probes: int, level: int) -> DataFrame:
     held = keys.sparkSession.sparkContext.broadcast(words)
 
@@ -55,19 +73,35 @@ def _passing(keys: DataFrame, words: np.ndarray, probes: int, level: int) -> Dat
     return append_columns(keys, make, "known boolean", text=None).where("known").drop("known")
 
 
-def build_cascade(universe: DataFrame, listed: DataFrame, scratch: Scratch) -> Cascade:
+def build_cascade(universe: DataFrame, listed: DataFrame, scratch: Scratch) -> Cascade | Shards:
     """Cascade for the distinct keys of ``universe`` (``key``), of which those in ``listed`` (``key``) are listed.
 
-    Null keys take no part.  Without listed keys nothing is listed.
+    Null keys take no part.  Without listed keys nothing is listed.  Shards if one filter can't hold the listed keys.
     """
     marked = universe.select("key").where("key IS NOT NULL").distinct().join(
         listed.select("key").where("key IS NOT NULL").distinct().withColumn("listed", F.lit(True)), "key", "left"
     )
     table = scratch.keep(marked.select(*bloom.hashes("key"), F.coalesce("listed", F.lit(False)).alias("listed")))
+    n, others = table.where("listed").count(), table.where("NOT listed").count()
+    needed, _ = bloom.shape(n, _rate(n, others), 1 << 62)
+    if needed <= bloom.MAX_BITS:
+        return _cascade(table, scratch)
+    # a tenth more, as shards are not equally large
+    shards = -(-needed * 11 // (10 * bloom.MAX_BITS))
+    dealt = scratch.keep(table.withColumn("shard", F.pmod(F.col("h1").bitwiseXOR(F.col("h2")), F.lit(shards))), "shard")
+    return Shards([_cascade(dealt.where(F.col("shard") == i).drop("shard"), scratch) for i in range(shards)])
+
+
+def _rate(listed: int, others: int) -> float:
+    """False positives of the first level that keep all levels together small."""
+    return min(0.5, max(1e-6, listed / (1.42 * max(others, 1))))
+
+
+def _cascade(table: DataFrame, scratch: Scratch) -> Cascade:
     inside, outside = table.where("listed").drop("listed"), table.where("NOT listed").drop("listed")
     n, others = inside.count(), outside.count()
     levels: list[tuple[np.ndarray, int]] = []
-    rate = min(0.5, max(1e-6, n / (1.42 * max(others, 1))))
+    rate = _rate(n, others)
     while n:
         if len(levels) == _MAX_LEVELS:
             raise RuntimeError("two keys have the same hashes")
@@ -107,7 +141,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], listed: DataFrame
     (``key``) has their host, else allowed.  A null or broken url has an empty host and path,
     fits no rule and is allowed unless the empty host is listed.
     """
-    names = {"host", "path", "rule", "verdict", "_keys", "_h1", "_h2"}
+    names = {"host", "path", "rule", "verdict"}
+    taken = {c.lower() for c in pages.columns}
+    # state under names that no column has
+    mark = next(m for m in ("_" * i for i in range(1, 1000)) if not taken & {f"{m}keys", f"{m}h1", f"{m}h2"})
+    own_keys, first, second = f"{mark}keys", f"{mark}h1", f"{mark}h2"
     host, path = host_and_path()
     rows = pages.select([c for c in pages.columns if c.lower() not in names]).withColumns({"host": host, "path": path})
     widths = sorted({len(p) for _, _, p in rules}, reverse=True)
@@ -121,8 +159,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], listed: DataFrame
     keys = F.concat(
         F.flatten(F.transform(_suffixes(F.col("host"), deep), prefixes)), F.array(F.concat(F.lit("://"), F.col("host")))
     )
-    keyed = rows.withColumn("_keys", keys)
-    universe = keyed.select(F.explode("_keys").alias("key")).distinct()
+    keyed = rows.withColumn(own_keys, keys)
+    universe = keyed.select(F.explode(own_keys).alias("key")).distinct()
     spark = pages.sparkSession
     allow = spark.createDataFrame([(h + p,) for v, h, p in rules if v == "allow"], "key string")
     block = spark.createDataFrame([(h + p,) for v, h, p in rules if v == "block"], "key string")
@@ -132,26 +170,30 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], listed: DataFrame
     scratch.remove()
     held = spark.sparkContext.broadcast(lists)
     hashed = keyed.withColumns({
-        "_h1": F.transform("_keys", lambda k: F.xxhash64(F.lit(0), k)), "_h2": F.transform("_keys", lambda k: F.xxhash64(F.lit(1), k)),
+        first: F.transform(own_keys, lambda k: F.xxhash64(F.lit(0), k)), second: F.transform(own_keys, lambda k: F.xxhash64(F.lit(1), k)),
     })
 
     def make():
         allowed, blocked, hosts = held.value
 
         def compute(piece):
-            keys = piece.column("_keys")
-            flat = keys.flatten().to_pylist()
-            first = keys.offsets.to_numpy() - keys.offsets[0].as_py()
-            h1, h2 = (piece.column(c).flatten().to_numpy() for c in ("_h1", "_h2"))
+            keys = piece.column(own_keys)
+            begin = keys.offsets.to_numpy() - keys.offsets[0].as_py()
+            last = begin[1:] - 1  # the host; every row has one
+            h1, h2 = (piece.column(c).flatten().to_numpy() for c in (first, second))
             may, must, bad = (x.listed(h1, h2) for x in (allowed, blocked, hosts))
-            rule, verdict = [], []
-            for a, b in zip(first[:-1], first[1:]):
-                hit = next((i for i in range(a, b - 1) if may[i] or must[i]), None)
-                rule.append(None if hit is None else flat[hit])
-                wrong = bad[b - 1] if hit is None else must[hit]
-                verdict.append("block" if wrong else "allow")
-            return {"rule": pa.array(rule, pa.string()), "verdict": pa.array(verdict, pa.string())}
+            fits = may | must
+            fits[last] = False
+            hits = np.append(np.flatnonzero(fits), len(fits))
+            hit = hits[np.searchsorted(hits, begin[:-1])]  # the first rule of each row, or one of a later row
+            found = hit < last
+            hit = np.where(found, hit, 0)
+            wrong = np.where(found, must[hit], bad[last])
+            return {
+                "rule": keys.flatten().take(pa.array(hit, mask=~found)).cast(pa.string()),
+                "verdict": pa.array(np.where(wrong, "block", "allow").tolist(), pa.string()),
+            }
 
         return compute
 
-    return append_columns(hashed, make, "rule string, verdict string", text=None).drop("_keys", "_h1", "_h2")
+    return append_columns(hashed, make, "rule string, verdict string", text=None).drop(own_keys, first, second)

@@ -60,6 +60,24 @@ def test_cascade_is_exact(spark):
     assert not empty.levels and not empty.listed(rows.h1.to_numpy(), rows.h2.to_numpy()).any()
 
 
+def test_cascade_of_more_keys_than_a_filter_holds(spark, monkeypatch):
+    monkeypatch.setattr(bloom, "MAX_BITS", 2048)
+    monkeypatch.setattr(bloom.shape, "__defaults__", (2048,))
+    universe = spark.range(6000).selectExpr("concat('k', id) AS key")
+    for step in (3, 1):
+        cascade = url_filter.build_cascade(universe, universe.where(f"CAST(substring(key, 2) AS INT) % {step} = 0"), Scratch(spark))
+        assert len(cascade.cascades) > 2 and all(len(w) * 64 <= 2048 for c in cascade.cascades for w, _ in c.levels)
+        rows = universe.select("key", *bloom.hashes("key")).toPandas()
+        told = cascade.listed(rows.h1.to_numpy(), rows.h2.to_numpy())
+        assert [int(k[1:]) % step == 0 for k in rows.key] == told.tolist()
+
+
+def test_urls_keep_columns_of_any_name(spark):
+    frame = spark.createDataFrame([(1, "http://a.com/", "k", "x", 7)], "page_id long, url string, _keys string, _h1 string, __H2 int")
+    row = url_filter.judge(frame, queries.URL_RULES, spark.createDataFrame([], "key string"), Scratch(spark)).first()
+    assert (row["_keys"], row["_h1"], row["__H2"], row["rule"], row["verdict"]) == ("k", "x", 7, "com/", "allow")
+
+
 def test_urls(spark):
     urls = {
         "http://A.Example.com/en/x?q=1": ("block", "example.com/en/"), "https://www.example.com/en/": ("allow", "www.example.com/en/"),
