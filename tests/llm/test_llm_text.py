@@ -259,6 +259,35 @@ def test_chat_examples(spark):
     assert chat.digests(chat.examples(frame.where("false"))).count() == 0
 
 
+def test_a_hot_conversation_is_many_units(spark, monkeypatch):
+    monkeypatch.setattr(chat, "RUN_BITS", 2)
+    rows = [(c, t, ("user", "assistant", "assistant")[t % 3], f"t{t} </s>") for c, n in ((None, 30), (1, 70), (2, 3), (3, 5)) for t in range(n)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    runs = chat._runs(frame, Scratch(spark)).where("own")
+    assert runs.where("conv_id = 1").select("run").distinct().count() >= 17 and runs.count() == len(rows)
+    made = chat.examples(frame)
+    by = {}
+    for r in sorted(made.collect(), key=lambda r: (r["conv_id"] or 0, r["example"])):
+        by.setdefault(r["conv_id"], []).append(r)
+    for c in (None, 1, 2, 3):
+        own = [r for r in rows if r[0] == c]
+        ends = [i for i, r in enumerate(own) if r[2] == "assistant"]
+        opened = own[-1][2] != "assistant"
+        assert [r["example"] for r in by[c]] == list(range(len(ends) + opened))
+        assert [r["n_turns"] for r in by[c]] == [i + 1 for i in ends] + [len(own)] * opened
+        for r in by[c]:
+            assert chat.turns_of(r["text"]) == [x[2:] for x in own[: r["n_turns"]]]
+            if r["loss_start"] is not None:
+                assert chat.unescape(r["text"][r["loss_start"] : r["loss_end"]]) == own[r["n_turns"] - 1][3]
+    monkeypatch.setattr(chat, "_BATCH_CHARS", 20)
+    for r in chat.digests(made).collect():
+        own = [x for x in rows if x[0] == r["conv_id"]]
+        said = "".join(x[3] for x in own if x[2] == "assistant")
+        assert r["n_turns"] == len(own) and r["turns_sha256"] == hashlib.sha256("".join(f"{x[2]}\n{x[3]}\n" for x in own).encode()).hexdigest()
+        assert (r["loss_chars"], r["loss_sha256"]) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+        assert r["formatted_chars"] == sum(len(x["text"]) for x in by[r["conv_id"]])
+
+
 @pytest.fixture(scope="module")
 def coder():
     with open(pieces.MODEL, "rb") as file:
