@@ -171,6 +171,14 @@ class Scratch:
         df.write.partitionBy(*folders).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def append(self, df: DataFrame, path: str | None = None) -> str:
+        """Write ``df`` to a new table or add it to the one at ``path``; the table's path, for results that come in blocks."""
+        if path is None:
+            path = f"{self.folder}/{len(self.paths)}"
+            self.paths.append(path)
+        df.write.mode("append").parquet(path)
+        return path
+
     def remove(self, df: DataFrame | None = None) -> None:
         """Remove the table that ``df`` was read from, or all of them."""
         wanted = set(df.inputFiles()) if df is not None else None

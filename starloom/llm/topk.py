@@ -5,7 +5,8 @@ of at most ``QUERY_BLOCK`` rows (a broadcast of bounded size); the candidates st
 For a block, every task scores all its candidates and counts the scores of each query in
 ``BINS`` bins; Spark sums the counts, which shows the bin that holds the k-th best score of all.
 The next pass splits that bin, until it is one score wide.  A last pass keeps what beats the k-th
-score and as many ties as could be needed, and a window breaks ties by id.
+score and as many ties as could be needed, and a window breaks ties by id.  The result of a block is written before the
+next one begins, so neither the plan nor what is broadcast grows with the queries.
 
 A task reports bins from the top only as far as its own k-th score: the k-th of all can't be lower.
 """
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,6 +27,7 @@ from starloom.llm.batches import Scratch, map_rows
 SCALE = 64
 QUERY_BLOCK = 8192
 BINS = 256
+RESULT = "query_id long, rank int, vec_id long, score long"
 _CELLS = 1 << 21  # scores held at once in a task
 
 
@@ -60,12 +63,11 @@ def _scores(rows: Iterator[pa.RecordBatch], query: tuple[np.ndarray, np.ndarray]
             yield part, scores
 
 
-def _histogram(vectors: DataFrame, query, exact, low: np.ndarray, width: np.ndarray, k: int) -> DataFrame:
+def _histogram(vectors: DataFrame, held: Broadcast, exact, low: np.ndarray, width: np.ndarray, k: int) -> DataFrame:
     """(q, bin, n): counts of each query's scores from ``low`` in bins of ``width``; bin BINS holds all above."""
-    held = vectors.sparkSession.sparkContext.broadcast((query, low, width))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query, low, width = held.value
+        query = held.value
         counts = np.zeros((len(low), BINS + 1), np.int64)
         row = np.arange(len(low))[:, None] * (BINS + 1)
         for _, scores in _scores(batches, query, exact):
@@ -79,15 +81,15 @@ def _histogram(vectors: DataFrame, query, exact, low: np.ndarray, width: np.ndar
     return vectors.mapInArrow(count, "q long, bin long, n long").groupBy("q", "bin").agg(F.sum("n").alias("n"))
 
 
-def _block(vectors: DataFrame, query, exact, bound: int, k: int) -> DataFrame:
-    """(q, vec_id, score): for each query all that beat its k-th score, and enough ties."""
+def _block(vectors: DataFrame, query, held: Broadcast, exact, bound: int, k: int) -> DataFrame:
+    """(q, query_id, vec_id, score): for each query all that beat its k-th score, and enough ties; ``held`` is ``query``."""
     n = len(query[0])
     norm = np.abs(query[1].astype(np.float64)).sum(axis=1)
     reach = np.ceil(norm * bound).astype(np.int64) + 1
     low, width = -reach, (2 * reach) // BINS + 1
     going = True
     while going:
-        table = _histogram(vectors, query, exact, low, width, k).toArrow()
+        table = _histogram(vectors, held, exact, low, width, k).toArrow()
         counts = np.zeros((n, BINS + 1), np.int64)
         counts[table.column("q").to_numpy(), table.column("bin").to_numpy()] = table.column("n").to_numpy()
         reached = counts[:, ::-1].cumsum(axis=1)[:, ::-1] >= k
@@ -97,10 +99,9 @@ def _block(vectors: DataFrame, query, exact, bound: int, k: int) -> DataFrame:
         width = np.where(fewer, 1, width)
         going = bool((width > 1).any())
         width = np.maximum(1, -(-width // BINS))
-    held = vectors.sparkSession.sparkContext.broadcast((query, low))
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query, least = held.value
+        query, least = held.value, low
         q_all, v_all, s_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         size = 0
 
@@ -122,9 +123,9 @@ def _block(vectors: DataFrame, query, exact, bound: int, k: int) -> DataFrame:
                 q_all, v_all, s_all = pruned()
                 size = len(q_all[0])
         (q,), (v,), (s,) = pruned()
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q, v, s)], names=["q", "vec_id", "score"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q, query[0][q], v, s)], names=["q", "query_id", "vec_id", "score"])
 
-    return vectors.mapInArrow(select, "q long, vec_id long, score long")
+    return vectors.mapInArrow(select, "q long, query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, scratch: Scratch) -> DataFrame:
@@ -137,7 +138,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, scratch: Scratch) -> D
     """
     rows = scratch.keep(quantised(vectors).withColumn("dim", F.size("v")))
     asked = scratch.keep(quantised(queries).distinct().withColumn("dim", F.size("v")))
-    spark, parts = vectors.sparkSession, []
+    spark, written = vectors.sparkSession, None
     largest = rows.groupBy("dim").agg(
         F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("most"), F.sum(F.exists("v", lambda x: x.isNull()).cast("int")).alias("odd")
     ).collect()
@@ -156,12 +157,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, scratch: Scratch) -> D
             if not table.num_rows:
                 continue
             query = (table.column("vec_id").to_numpy(), _matrix(table.column("v")))
-            found = _block(own, query, exact, most, k)
-            names = spark.createDataFrame([(i, int(x)) for i, x in enumerate(query[0])], "q long, query_id long")
+            held = spark.sparkContext.broadcast(query)
+            found = _block(own, query, held, exact, most, k)
             order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
             best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            parts.append(best.join(names, "q").select("query_id", "rank", "vec_id", "score"))
-    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    for part in parts:
-        out = out.unionByName(part)
-    return out
+            written = scratch.append(best.select("query_id", "rank", "vec_id", "score"), written)
+            held.destroy()
+    if written is None:
+        return spark.createDataFrame([], RESULT)
+    return spark.read.schema(RESULT).parquet(written)

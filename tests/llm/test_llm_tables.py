@@ -42,6 +42,17 @@ def test_top_k(spark, monkeypatch, block):
     assert topk.top_k(frame.where("false"), frame.where("false"), 5, Scratch(spark)).count() == 0
 
 
+def test_top_k_of_many_blocks_has_a_flat_plan(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    rng = np.random.default_rng(2)
+    frame = spark.createDataFrame([(i, rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(60)], "vec_id long, embedding array<double>")
+    found = topk.top_k(frame, frame.where("vec_id % 2 = 0"), 3, Scratch(spark))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("\n") == 1 and "parquet" in plan and found.count() == 90
+    whole = topk.top_k(frame, frame.where("vec_id % 2 = 0"), 3, Scratch(spark))
+    assert found.exceptAll(whole).isEmpty()
+
+
 def test_top_k_refuses_what_a_long_cannot_hold(spark):
     frame = spark.createDataFrame([(0, [1e12, 1.0]), (1, [1e12, 2.0])], "vec_id long, embedding array<double>")
     with pytest.raises(ValueError):
