@@ -5,14 +5,15 @@ from pyspark.sql import functions as F
 from registered import SQL, load, query
 from registered.expressions import order_calendar
 from registered.warehouse import (
-    AUTHORS_SQL, BRIDGE_SQL, INSTITUTIONS_SQL, PLACES_SQL, PROFESSORS_SQL, PROGRAMMES_SQL, RAW_THEMES_SQL, UF_SQL,
+    AUTHORS_SQL, BRIDGE_SQL, INSTITUTIONS_SQL, PLACES_SQL, PROFESSORS_SQL, PROGRAMMES_SQL, RAW_THEMES_SQL, STUDENTS_SQL, UF_SQL,
     UNKNOWN, author_dimensions, city_file, goal_bridge_of, institution_dimension_of, postdoc_file, professor_dimension_of,
-    programme_dimension_of, theme_raw, themes_and_bridge,
+    programme_dimension_of, student_dimension_of, theme_raw, themes_and_bridge,
 )
 from starloom.fixed_values import CATEGORY_DEFAULT, GOALS
-from starloom.operators.filters import active_only
+from starloom.operators.filters import active_only, without_unknown
 from starloom.operators.maintain import deactivate
-from starloom.operators.quality import dimension_rules
+from starloom.operators.quality import dimension_rules, require
+from starloom.operators.shape import with_natural_id
 from starloom.plans import dims, facts, reports
 from starloom.plans.factored import ThemeFactors
 
@@ -291,6 +292,37 @@ def institution_rules(spark, folder):
     return dimension_rules("ies").measure(institution_dimension_of(spark, folder)).drop("position", "message")
 
 
+@query(f"""
+    WITH {INSTITUTIONS_SQL}
+    SELECT uf AS sg_uf, count(*) AS total FROM (SELECT uf, des FROM institutions WHERE des IS NOT NULL) WHERE uf IS NOT NULL GROUP BY 1
+""")
+def gated_institutions(spark, folder):
+    """V12, V13, R19 by state: counted only if the built dimension has its columns and no rule of kind ERROR fails."""
+    institutions = require(institution_dimension_of(spark, folder), "ies_sk", "des_ies", "sg_uf")
+    dimension_rules("ies").gate(institutions)
+    return reports.institutions_by(without_unknown(institutions, "ies_sk"), "sg_uf")
+
+
+@query(f"""
+    WITH {STUDENTS_SQL}
+    SELECT count(*) AS total_discentes, 1 AS sexos, count(DISTINCT situacao) AS situacoes, count(DISTINCT grau) AS graus, min(ano) AS ano_min, max(ano) AS ano_max
+    FROM students
+""")
+def known_students_report(spark, folder):
+    """R18 without the unknown member."""
+    return reports.student_profile(student_dimension_of(spark, folder), with_unknown_member=False)
+
+
+@query("""
+    SELECT user_id, event_type, count(*) AS linhas, count(*) AS ids, count(*) - 1 AS copias FROM events GROUP BY 1, 2
+""")
+def events_by_content_id(spark, folder):
+    """Rows without an id get one from their content; equal rows are numbered, so all of them stay."""
+    rows = with_natural_id(load(spark, folder, "events").select("user_id", "event_type"), "codigo", "evento")
+    copied = F.count_if(F.col("codigo").contains("-"))
+    return rows.groupBy("user_id", "event_type").agg(F.count("*").alias("linhas"), F.count_distinct("codigo").alias("ids"), copied.alias("copias"))
+
+
 # --- the bridge after a soft delete ----------------------------------------------
 
 @query(f"""
