@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators.integrity import orphan_keys
+from starloom.operators.keys import factorized
 from starloom.operators.quality import dimension_rules
 from starloom.operators.shape import with_natural_id
 from starloom.plans import dims, facts, raw, reports
@@ -427,3 +428,24 @@ def test_roles_need_no_exchange_of_their_own(spark, name, most):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") <= most and "BroadcastHashJoin" not in plan
+
+
+def test_rows_of_a_repetitive_sheet_are_never_broadcast(spark):
+    # many rows of few names: the files of the rows are tiny, the rows are not
+    sheet = spark.range(60_000).selectExpr(
+        "concat('macro ', id % 3) AS macro_tema_1_label", "concat('T', id % 5) AS TEMA",
+        "concat_ws('|', concat('a keyword of some length ', id % 7), 'água', '') AS `PALAVRA-CHAVE`", "'SP' AS UF",
+    )
+    themes = raw.raw_tema(sheet)
+    plan = themes._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+    assert themes.count() == 180_000 and themes.agg(F.max("tema_id"), F.max("palavrachave_id")).first()[:] == (15, 9)
+
+
+def test_ids_of_many_names_are_joined_by_shuffle(spark):
+    # 200,000 sorted names make a file below Spark's limit, but 20 MB of rows
+    names = spark.range(200_000).select(F.format_string("a name of some length %09d", "id").alias("name"))
+    ids = factorized(names, "name_id", ["name"])
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert ids.filter("name_id = 1 + int(substr(name, -9))").count() == 200_000
