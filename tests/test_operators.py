@@ -368,3 +368,13 @@ def test_later_loads_keep_assigned_keys(spark, rows):
     assert rows(keys.extend_keys(known, fresh, "sk", ["x", "y"])) == [(6, None, 3), (7, "a", 1)]
     assert rows(keys.extend_keys(known.where("false"), fresh.where("y = 1"), "sk", ["x", "y"])) == [(1, "a", 1)]
     assert keys.extend_keys(known, fresh.where("false"), "sk", ["x", "y"]).count() == 0
+
+
+def test_contains_pairs_cuts_windows_only_where_a_piece_begins(spark):
+    words = spark.createDataFrame([(1, "gato"), (2, "azul e")], "w int, word string")
+    texts = spark.createDataFrame([(1, "o gato"), (2, "azul e o gato")], "t int, body string")
+    found = match.contains_pairs(words, "w", "word", texts, "t", "body")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # a filter on the window below the explosion would build it at every position of the texts
+    assert not [line for line in plan.splitlines() if "Filter" in line and "substring(" in line]
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (1, 2), (2, 2)]
