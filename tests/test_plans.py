@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from registered import warehouse
 from starloom import schemas
 from starloom.operators.integrity import orphan_keys
 from starloom.operators.keys import factorized
@@ -449,3 +450,32 @@ def test_ids_of_many_names_are_joined_by_shuffle(spark):
     plan = ids._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert ids.filter("name_id = 1 + int(substr(name, -9))").count() == 200_000
+
+
+def test_customers_of_a_small_file_are_not_broadcast(spark, tmp_path):
+    # 200,000 customers make a file below Spark's limit, but 16 MB of rows
+    tables = {
+        "customer": spark.range(200_000).selectExpr("id AS c_custkey", "1L AS c_nationkey", "CAST(1.5 AS double) AS c_acctbal"),
+        "supplier": spark.range(3).selectExpr("id AS s_suppkey", "concat('Supplier ', id) AS s_name", "id AS s_nationkey", "CAST(1 AS double) AS s_acctbal"),
+        "orders": spark.range(6).selectExpr("id AS o_orderkey", "id * 7 AS o_custkey", "'F' AS o_orderstatus"),
+        "lineitem": spark.range(12).selectExpr("id % 7 AS l_orderkey", "id % 4 AS l_suppkey"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    rows = warehouse.institution_file(spark, str(tmp_path))
+    joins = [line for line in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert any("SortMergeJoin [o_custkey" in line for line in joins)
+    assert not any("BroadcastHashJoin [o_custkey" in line for line in joins)
+    # orders 0 to 5 and suppliers 0 to 2 are known
+    assert rows.count() == len({(i % 7, i % 4) for i in range(12) if i % 7 < 6 and i % 4 < 3})
+
+
+def test_theme_factors_broadcast_no_themes(spark, rows):
+    listed = spark.range(4).selectExpr("CAST(1 + id % 2 AS int) AS tema_id", "concat('T', id % 2) AS tema_nome", "if(id < 2, 'BAHIA', 'ACRE') AS uf")
+    themes = spark.range(5).selectExpr("CAST(id AS int) AS tema_sk", "CAST(1 + id % 2 AS int) AS tema_id", "concat('T', id % 2) AS tema_nome")
+    members = spark.range(1).selectExpr("1 AS ies_sk", "'A' AS des_ies", "'Federal' AS des_status_juridico", "'BA' AS sg_uf")
+    places = spark.range(1).selectExpr("'UF' AS nivel", "'BA' AS sigla_uf", "1 AS localidade_sk", "'NORDESTE' AS regiao")
+    found = ThemeFactors.of(listed, themes, members, places).themes
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [tema_id" in plan and "BroadcastHashJoin [tema_id" not in plan
+    assert rows(found) == [(sk, 1 + sk % 2, uf) for sk in range(1, 5) for uf in ("AC", "BA")]
