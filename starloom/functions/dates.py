@@ -11,9 +11,17 @@ from starloom.functions.text import as_column, text_of
 MICROS_PER_DAY = 86_400_000_000
 
 
+# two digits that are no day, or no month behind the day, such as 99/99/9999 for an unknown date
+IMPOSSIBLE_DAY = r"^(?:00|3[2-9]|[4-9][0-9]|[0-9]{2}/(?:00|1[3-9]|[2-9][0-9]))/"
+
+
 def day_month_year(value: Column | str) -> Column:
-    """Date in dd/MM/yyyy, null when the text does not fit."""
-    return F.try_to_date(F.trim(text_of(value)), "dd/MM/yyyy")
+    """Date in dd/MM/yyyy, null when the text does not fit.
+
+    Each text that the parser can't read costs it exceptions, so texts that surely are no date are not handed to it.
+    """
+    text = F.trim(text_of(value))
+    return F.when(text.contains("/") & ~text.rlike(IMPOSSIBLE_DAY), F.try_to_date(text, "dd/MM/yyyy"))
 
 
 def any_timestamp(value: Column | str) -> Column:

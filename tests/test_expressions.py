@@ -118,3 +118,11 @@ def test_year_in_name_takes_the_last(spark):
 
 def test_append_note(spark):
     assert values(spark, ["old", None], lambda c: text.append_note(c, "new")) == ["old | new", "new"]
+
+
+def test_impossible_dates_are_not_parsed(spark):
+    texts = ["99/99/9999", "32/01/2020", "00/01/2020", "01/13/2020", "01/00/2020", "no date", "31/02/2020", " 29/02/2020 ", None]
+    assert values(spark, texts, dates.day_month_year) == [None] * 7 + [dt.date(2020, 2, 29), None]
+    # the parser fails by exceptions; it gets only texts that pass a test before
+    plan = spark.range(1).select(F.col("id").cast("string").alias("x")).select(dates.day_month_year("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RLIKE") < plan.index("gettimestamp")
