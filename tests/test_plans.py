@@ -14,6 +14,7 @@ from starloom.operators.shape import with_natural_id
 from starloom.plans import dims, facts, raw, reports
 from starloom.plans.factored import ThemeFactors
 from starloom.schemas import TABLES, empty_table
+from starloom.session import loaded_bytes
 from starloom.sources import readers
 
 UNKNOWN = "NÃO INFORMADO"
@@ -452,6 +453,27 @@ def test_ids_of_many_names_are_joined_by_shuffle(spark):
     assert ids.filter("name_id = 1 + int(substr(name, -9))").count() == 200_000
 
 
+def test_long_names_are_not_broadcast(spark, rows):
+    # 12,000 names are few rows and, as their texts repeat, small files, but 24 MB of text
+    sheet = spark.range(12_000).select(
+        F.lit("macro").alias("macro_tema_1_label"), F.concat(F.lit("T"), F.col("id") % 3).alias("TEMA"),
+        F.concat(F.repeat(F.lit("a long name "), 170), F.format_string("%09d", "id")).alias("PALAVRA-CHAVE"),
+        F.when(F.col("id") % 2 == 0, "BAHIA").otherwise("ACRE").alias("UF"),
+    )
+    themes = raw.raw_tema(sheet)
+    plan = themes._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert themes.filter("palavrachave_id = 1 + int(substr(palavrachave_nome, -9))").count() == 12_000
+    places = dims.dim_localidade(spark, spark.createDataFrame([("2900001", "A"), ("1200001", "B")], "codigo_ibge string, nome string"))
+    assert rows(reports.raw_themes_by_region(themes, places)) == [("NORDESTE", 3), ("NORTE", 3)]
+
+
+def test_loaded_bytes_count_texts_by_length(spark):
+    table = spark.createDataFrame([("x" * 1000, 1), ("á" * 50, 2), ("short", 3), (None, 4)], "t string, n int")
+    assert loaded_bytes(table) == 4 * (20 + 4 + 2 * 8 + 32) + 980 + 80
+    assert loaded_bytes(table.select("n")) == 4 * (4 + 8 + 32) and loaded_bytes(table.limit(0)) == 0
+
+
 def test_customers_of_a_small_file_are_not_broadcast(spark, tmp_path):
     # 200,000 customers make a file below Spark's limit, but 16 MB of rows
     tables = {
