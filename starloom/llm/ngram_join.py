@@ -7,8 +7,8 @@ shingles, the first n - a + l of one set and of the other have l in common.  Eac
 class picks its l: a longer prefix means more rows to match, but l matches are asked for
 before a pair is verified.  The costs are estimated from shingle frequencies.
 
-* Order: frequent shingles last, by counts over all documents; at most
-  ``FREQUENT`` of them can exist.  The order shapes the cost alone, never the result.
+* Order: frequent shingles last, by counts over all documents; the most frequent ones
+  are told apart, ``FREQUENT`` at most.  The order shapes the cost alone, never the result.
 * Shingles in few prefixes: pairs with enough matches are candidates; those that share
   a neighbour are put in one bucket.
 * Shingles in more than ``DENSE`` prefixes: listing pairs would grow with the square of a group,
@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ MATCHES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 DENSE = 48
 BLOCK_DOCS = 192
 FREQUENT = 1 << 22
-LEAST_FREQUENT = 12
+LEAST_FREQUENT = 4
 COUNT_BLOCK = 1 << 22
 _ELSEWHERE = 0.05  # other holders that a shingle is expected to have when it isn't frequent
 # in rows moved: a match, and a verified candidate for each shingle of its set
@@ -62,10 +63,10 @@ class Rule:
 
 
 def _frequent(docs: DataFrame, scratch: Scratch, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles of all documents, sorted, and about how many documents hold each.
+    """The most frequent shingles of all documents, ``FREQUENT`` at most, sorted, and about how many documents hold each.
 
-    A task counts the shingles of blocks of ``COUNT_BLOCK`` and reports those it met twice.
-    A shingle is frequent at 1 / ``FREQUENT`` of all occurrences, so no more than that many are.
+    A task counts the shingles of blocks of ``COUNT_BLOCK`` and reports those it met twice.  More documents make more
+    blocks, so a shingle of the same share of them is met as often in each; its holders are told from what was reported.
     """
 
     def make():
@@ -94,13 +95,29 @@ def _frequent(docs: DataFrame, scratch: Scratch, rule: Rule) -> tuple[np.ndarray
         return compute
 
     counts = map_rows(docs.select("text"), make, "shingle long, n long", finish=True)
-    sums = scratch.keep(counts.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_FREQUENT))
-    total = sums.where("shingle IS NULL").agg(F.sum("n")).first()[0] or 0
-    often = sums.where(F.col("shingle").isNotNull() & (F.col("n") >= total / FREQUENT)).toArrow()
+    sums = scratch.keep(
+        counts.groupBy("shingle").agg(F.sum("n").alias("n"), F.count("*").alias("blocks"))
+        .where(F.col("shingle").isNull() | (F.col("n") >= LEAST_FREQUENT))
+    )
+    blocks = sums.where("shingle IS NULL").agg(F.sum("blocks")).first()[0] or 1
+    # counts in steps of an eighth of their logarithm: from which step on do they fit?
+    often, step = sums.where("shingle IS NOT NULL"), F.floor(F.log("n") * 8)
+    steps = often.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect()
+    fits = [r["step"] for r, rows in zip(steps, accumulate(r["rows"] for r in steps)) if rows <= FREQUENT]
+    often = often.where(step >= F.lit(fits[-1])).select("shingle", "n").toArrow() if fits else often.limit(0).toArrow()
     scratch.remove(sums)
     shingles = often.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(shingles)
-    return shingles[order], often.column("n").to_numpy()[order].astype(np.float32)
+    return shingles[order], _holders(often.column("n").to_numpy()[order], blocks).astype(np.float32)
+
+
+def _holders(reported: np.ndarray, blocks: int) -> np.ndarray:
+    """Documents that hold a shingle, about, when blocks that met it twice reported it so often in all.
+
+    With r holders a block, dealt by chance, a block reports r (1 - exp(-r)) of them, which is close to r^2 / (1 + r).
+    """
+    share = reported / blocks
+    return blocks * (share + np.sqrt(share * (share + 4))) / 2
 
 
 def _choose(others: np.ndarray, n: int, base: int) -> int:

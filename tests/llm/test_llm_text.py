@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -93,6 +94,36 @@ def test_join_of_nothing(spark, none):
     assert ngram_join.one_of_each_group(none, Scratch(spark)).count() == 0
 
 
+def test_most_frequent_shingles_are_told_apart_in_any_corpus(spark, monkeypatch):
+    """A shingle of 80 documents was taken for a rare one as soon as all documents had 80 x ``FREQUENT`` shingles."""
+    passages = {80: "one two three four five", 40: "six seven eight nine ten", 10: "red green blue black white"}
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(50))
+    rows = [(i, " ".join([own(i), *[p for n, p in passages.items() if i % 100 < n]])) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {}
+    for most in (50, 2):
+        monkeypatch.setattr(ngram_join, "FREQUENT", most)
+        shingles, holders = ngram_join._frequent(docs, Scratch(spark), ngram_join.Rule())
+        found[most] = dict(zip(shingles.tolist(), holders.tolist()))
+        assert len(found[most]) <= most
+        assert (shingles[1:] > shingles[:-1]).all()
+    sets = [set(ngram_join.Rule().sets(pa.record_batch({"text": [p]}))[0].tolist()) for p in passages.values()]
+    assert set().union(*sets) <= set(found[50])
+    (first,), (second,), (third,) = sets
+    assert found[50][first] > found[50][second] > found[50][third]
+    assert 70 < found[50][first] < 110
+    # where not all fit, the most frequent stay
+    assert first in found[2] and third not in found[2]
+
+
+@pytest.mark.parametrize("holders", [30, 300])
+def test_holders_of_a_shingle_from_what_blocks_reported(holders):
+    rng = np.random.default_rng(0)
+    met = rng.multinomial(holders, [1 / 100] * 100, size=400)
+    reported = np.where(met > 1, met, 0).sum(axis=1)
+    assert 0.7 * holders < np.median(ngram_join._holders(reported, 100)) < 1.4 * holders
+
+
 def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
 
