@@ -35,6 +35,7 @@ from starloom.llm import bloom
 from starloom.llm.batches import Scratch, importable, map_rows
 from starloom.llm.components import components
 from starloom.llm.words import BLANK_SEPARATED, distinct_shingles, mix, words_of
+from starloom.operators.bloom import bloom as bloom_of, might_hold
 
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 DENSE = 48
@@ -42,6 +43,7 @@ BLOCK_DOCS = 192
 FREQUENT = 1 << 22
 LEAST_FREQUENT = 4
 COUNT_BLOCK = 1 << 22
+ODD_BITS = 1 << 23
 _ELSEWHERE = 0.05  # other holders that a shingle is expected to have when it isn't frequent
 # in rows moved: a match, and a verified candidate for each shingle of its set
 _MATCH_COST, _VERIFY_COST = 0.5, 0.8
@@ -388,6 +390,13 @@ def one_of_each_group(docs: DataFrame, scratch: Scratch, rule: Rule = Rule()) ->
     Rows without an id all stay; of several rows with the same id one stays.
     """
     groups = near_duplicate_groups(docs.select("doc_id", "text"), scratch, rule)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.where("doc_id IS NOT NULL").join(scratch.keep(kept), F.col("doc_id") == F.col("_kept"), "left_semi")
-    return known.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    ids = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_gone")).agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("kept"), F.count("*").alias("rows")
+    )
+    # most documents stay and most ids are there once: only rows of the other ids move with their texts
+    odd = scratch.keep(ids.where("NOT kept OR rows > 1").select("_gone", "kept"))
+    near = might_hold(bloom_of(odd, "_gone", width=ODD_BITS), F.col("doc_id").cast("long"), width=ODD_BITS)
+    known = docs.where("doc_id IS NOT NULL")
+    gone = odd.where("NOT kept").select("_gone")
+    looked_up = known.where(near).join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id"])
+    return known.where(~near).unionByName(looked_up).unionByName(docs.where("doc_id IS NULL"))

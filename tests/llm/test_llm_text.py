@@ -9,6 +9,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starloom.llm import chat, decontaminate, language, ngram_join, pieces, pii, quality, token_counts
@@ -89,6 +90,19 @@ def test_one_of_each_group(spark, docs):
     assert ids.count(None) == 2 and kept.columns == docs.columns
 
 
+def test_kept_documents_stay_where_they_are(spark):
+    """Only rows of ids that go, or that are there twice, move with their texts; all others used to."""
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    texts = [(i, own(i)) for i in range(300)] + [(300 + i, own(i)) for i in range(20)] + [(40, own(900)), (41, own(41)), (320, own(41)), (None, "x")]
+    frame = Scratch(spark).keep(spark.createDataFrame(texts, "doc_id long, text string").repartition(3))
+    kept = ngram_join.one_of_each_group(frame, Scratch(spark))
+    place = F.spark_partition_id()
+    before = {r[0]: r[1] for r in frame.select("doc_id", place).collect() if r[0] is not None}
+    after = [tuple(r) for r in kept.select("doc_id", place).collect()]
+    assert sorted(r[0] for r in after if r[0] is not None) == list(range(300)) and [r[0] for r in after].count(None) == 1
+    assert all(before[i] == at for i, at in after if i is not None and i not in (40, 41))
+
+
 def test_join_of_nothing(spark, none):
     assert ngram_join.near_duplicate_groups(none, Scratch(spark)).count() == 0
     assert ngram_join.one_of_each_group(none, Scratch(spark)).count() == 0
