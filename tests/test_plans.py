@@ -333,6 +333,16 @@ def test_bridge_and_goal_reports(spark, dim_tema, rows):
     assert tuple(reports.goal_coverage_by_programme(fact, bridge, goals, programme).first()) == ("DIREITO", 3, "3, 6, 14")
 
 
+def test_bridge_has_one_row_a_pair_and_dense_ids(spark, rows):
+    """Ids used to be those of partitions, and a theme key that came twice made its pairs twice."""
+    words = [(k, word) for k in (9, 2, 5, 7) for word in ("água", "saúde mental")] + [(1, "zzz"), (3, None), (0, "água")]
+    themes = spark.createDataFrame(words, "tema_sk int, palavra_chave string").repartition(4, "tema_sk")
+    bridge = facts.fact_tema_ods(themes)
+    got = [tuple(r) for r in bridge.select("tema_ods_id", "tema_sk", "ods_sk", F.col("nivel_confianca").cast("int")).orderBy("tema_ods_id").collect()]
+    pairs = [(k, goal, sure) for k in (2, 5, 7, 9) for goal, sure in ((3, 80), (6, 80), (14, 60))]
+    assert got == [(i, *pair) for i, pair in enumerate(pairs, 1)]
+
+
 def test_simplified_theme_fact_and_reports(spark, themes, dim_tema, rows, tmp_path):
     dim_ies = spark.createDataFrame(
         [(0, "XX", UNKNOWN, UNKNOWN), (1, "SP", "Univ A", "Particular"), (2, "SP", "Univ B", "Federal"), (3, "RJ", "Univ C", "Federal")],
