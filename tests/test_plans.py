@@ -361,6 +361,15 @@ def test_simplified_theme_fact_and_reports(spark, themes, dim_tema, rows, tmp_pa
     assert by_category == {"PRIVADO": 2, "PÚBLICO": 2}
     assert reports.themes_by_region(fact, dim_tema, places).first()["regiao"] == "SUDESTE"
     assert [r["des_ies"] for r in reports.top_institutions(fact, dim_tema, dim_ies, places).collect()] == ["Univ A", "Univ B"]
+    # no pair is copied for a second distinct count, and a state's pairs are dealt over tasks
+    for report in (reports.themes_by_state(fact, dim_tema, places), reports.themes_by_category(fact, dim_tema, dim_ies), reports.themes_by_region(fact, dim_tema, places)):
+        pairs_first = report._jdf.queryExecution().optimizedPlan().toString()
+        assert "ies_sk" not in "".join(line for line in pairs_first.splitlines() if "Expand [" in line)
+    dealt = ThemeFactors(
+        spark.range(3000).selectExpr("CAST(id AS INT) AS tema_sk", "CAST(id AS INT) AS tema_id", "'SP' AS _uf"), *[getattr(ThemeFactors.of(themes, dim_tema, dim_ies, places), c) for c in ("members", "places")]
+    ).pairs()
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6000 and len(sizes) > 1
     # the same counts from the factors, also from stored ones, and no pairs on the way
     factors = ThemeFactors.of(themes, dim_tema, dim_ies, places)
     factors.save(str(tmp_path / "factors"))
